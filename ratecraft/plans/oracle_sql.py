@@ -24,12 +24,13 @@ ratings AS (
               ELSE 'train' END AS split
   FROM pairs)"""
 
-NAMED_RATINGS_CTE = RATINGS_CTE + """,
-named AS (
+NAMED_PART = """named AS (
   SELECT r.RowID, r.BeerID, r.ReviewerID, p.p_name AS BeerName, p.p_type AS BeerType,
          r.rating, r.split
   FROM ratings r JOIN part p ON r.BeerID = p.p_partkey)"""
 
+NAMED_RATINGS_CTE = RATINGS_CTE + ",\n" + NAMED_PART
+
 FEATURES_CTE = RATINGS_CTE + """,
 feat AS (
   SELECT ReviewerID * 1000000 + BeerID AS RowID, ReviewerID, BeerID,
@@ -61,6 +62,55 @@ feat AS (
   JOIN part p ON pairs.BeerID = p.p_partkey)"""
 
 
+DAY_CASE = ("CASE lower({c}) WHEN 'mon' THEN 1 WHEN 'tue' THEN 2 WHEN 'wed' THEN 3 "
+            "WHEN 'thu' THEN 4 WHEN 'fri' THEN 5 WHEN 'sat' THEN 6 WHEN 'sun' THEN 7 END")
+MONTH_CASE = ("CASE lower({c}) WHEN 'jan' THEN 1 WHEN 'feb' THEN 2 WHEN 'mar' THEN 3 "
+              "WHEN 'apr' THEN 4 WHEN 'may' THEN 5 WHEN 'jun' THEN 6 WHEN 'jul' THEN 7 "
+              "WHEN 'aug' THEN 8 WHEN 'sep' THEN 9 WHEN 'oct' THEN 10 WHEN 'nov' THEN 11 "
+              "WHEN 'dec' THEN 12 END")
+
+
+def time_sql(c: str) -> str:
+    part = "TRY_CAST(trim(split_part({c}, ':', {k})) AS INTEGER)"
+    return (f"CASE WHEN len(string_split({c}, ':')) <> 3 THEN 0 ELSE "
+            f"{part.format(c=c, k=1)} * 3600 + {part.format(c=c, k=2)} * 60 + "
+            f"{part.format(c=c, k=3)} END")
+
+
+def age_sql(c: str, year: int = 2020) -> str:
+    y = f"TRY_CAST(trim(split_part({c}, ',', 2)) AS INTEGER)"
+    return (f"CASE WHEN lower({c}) = 'unknown' THEN 0 WHEN strpos({c}, ',') = 0 THEN 0 "
+            f"WHEN {year} - {y} > 0 THEN {year} - {y} WHEN {y} IS NULL THEN NULL ELSE 0 END")
+
+
+ENGINEERED_CTE = FEATURES_CTE + ",\n" + NAMED_PART + """,
+eng0 AS (
+  SELECT n.RowID, n.BeerID, n.ReviewerID, n.BeerName, n.BeerType, n.rating, n.split,
+         f.BrewerID, f.ABV, f.DayofWeek, f.Month, f.DayofMonth, f.Year, f.TimeOfDay,
+         f.Gender, f.Birthday
+  FROM named n JOIN feat f ON n.RowID = f.RowID),
+eng1 AS (
+  SELECT e.*, rc.n AS ReviewerReviewCount, bc.n AS BeerReviewCount FROM eng0 e
+  JOIN (SELECT split, ReviewerID, count(*) AS n FROM eng0 GROUP BY split, ReviewerID) rc
+    ON e.split = rc.split AND e.ReviewerID = rc.ReviewerID
+  JOIN (SELECT split, BeerID, count(*) AS n FROM eng0 GROUP BY split, BeerID) bc
+    ON e.split = bc.split AND e.BeerID = bc.BeerID),
+eng AS (
+  SELECT RowID, BeerID, ReviewerID, BeerName, BeerType, rating, split, BrewerID,
+         coalesce(ABV, avg(ABV) OVER (PARTITION BY split)) AS ABV,
+         """ + DAY_CASE.format(c="DayofWeek") + """ AS DayofWeek,
+         """ + MONTH_CASE.format(c="Month") + """ AS Month,
+         DayofMonth, Year,
+         """ + time_sql("TimeOfDay") + """ AS TimeOfDay,
+         Gender,
+         """ + age_sql("Birthday") + """ AS Birthday,
+         ReviewerReviewCount, BeerReviewCount
+  FROM eng1)"""
+
+SCALED = ["ReviewerReviewCount", "BeerReviewCount", "ABV", "DayofWeek", "DayofMonth",
+          "Month", "Year", "TimeOfDay", "Birthday"]
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

@@ -12,7 +12,10 @@ from ratecraft.sources import ratings as rt
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round to 6 places after a 1e-10 nudge, identically on the Spark and SQL
+    sides: engines round a double whose shortest decimal ends in 5 differently
+    (decimal half-up vs binary value), the nudge moves it off the tie."""
+    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(1e-10), 6)
 
 
 def _targets(t):
@@ -21,14 +24,14 @@ def _targets(t):
 
 # ---------------------------------------------------------------- data model
 @query("ratings_triples", sql=q.with_ctes(q.RATINGS_CTE) + """
-SELECT RowID, BeerID, ReviewerID, round(rating, 6) AS rating, split FROM ratings""")
+SELECT RowID, BeerID, ReviewerID, round((rating) + 1e-10, 6) AS rating, split FROM ratings""")
 def ratings_triples(spark, sf):
     t = rt.rating_triples(spark, sf)
     return t.select("RowID", "BeerID", "ReviewerID", r6("rating").alias("rating"), "split")
 
 
 @query("ratings_named", sql=q.with_ctes(q.NAMED_RATINGS_CTE) + """
-SELECT RowID, BeerID, ReviewerID, BeerName, BeerType, round(rating, 6) AS rating, split FROM named""")
+SELECT RowID, BeerID, ReviewerID, BeerName, BeerType, round((rating) + 1e-10, 6) AS rating, split FROM named""")
 def ratings_named(spark, sf):
     t = rt.ratings(spark, sf)
     return t.withColumn("rating", r6("rating"))
@@ -53,7 +56,7 @@ def _baseline_sql(select_tail: str) -> str:
 
 
 @query("baseline_predict", sql=_baseline_sql(
-    "SELECT RowID, split, round(est, 6) AS est FROM pred"), bench=True)
+    "SELECT RowID, split, round((est) + 1e-10, 6) AS est FROM pred"), bench=True)
 def baseline_predict(spark, sf):
     t = rt.rating_triples(spark, sf)
     model = fit_baseline(t.where(F.col("split") == "train"))
@@ -62,7 +65,7 @@ def baseline_predict(spark, sf):
 
 
 @query("baseline_mae", sql=_baseline_sql(
-    "SELECT split, round(avg(abs(rating - est)), 6) AS mae, count(*) AS n FROM pred GROUP BY split"))
+    "SELECT split, round((avg(abs(rating - est))) + 1e-10, 6) AS mae, count(*) AS n FROM pred GROUP BY split"))
 def baseline_mae(spark, sf):
     t = rt.rating_triples(spark, sf)
     model = fit_baseline(t.where(F.col("split") == "train"))
