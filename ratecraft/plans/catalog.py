@@ -36,5 +36,5 @@ def query(name: str, sql: str | None = None, bench: bool = False):
 
 def load_all() -> dict[str, Entry]:
     # Importing the query modules fills the registry.
-    from ratecraft.plans import queries_core, queries_relational, queries_text  # noqa: F401
+    from ratecraft.plans import queries_core, queries_models, queries_relational, queries_text  # noqa: F401
     return REGISTRY
