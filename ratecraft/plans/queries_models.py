@@ -120,3 +120,76 @@ def knn_baseline(spark, sf):
     "LEFT JOIN us ON us.u = tg.u LEFT JOIN ki ON ki.i = tg.i)") + _FINAL, bench=True)
 def slope_one(spark, sf):
     return _predict(spark, sf, fit_slope_one)
+
+
+# ---------------------------------------------------------------- M12 / M13 content kNN
+from ratecraft.plans.content_knn import (CONTENT_COLS, fit_content_knn,  # noqa: E402
+                                         item_count_vectors, item_features_mean)
+from ratecraft.plans.features import engineered_features  # noqa: E402
+
+_ENG_BASE = [
+    q.ENGINEERED_CTE,
+    "tr AS (SELECT BeerID AS u, ReviewerID AS i, rating AS r FROM eng WHERE split = 'train')",
+    "tg AS (SELECT RowID, split, BeerID AS u, ReviewerID AS i FROM eng WHERE split <> 'train')",
+    "gs AS (SELECT avg(r) AS mu FROM tr)",
+    "hist AS (SELECT tg.RowID, tg.u, tg.i, t.i AS j, t.r AS rj FROM tg JOIN tr t ON t.u = tg.u)",
+]
+_CONTENT_TAIL = [
+    "top AS (SELECT * FROM (SELECT h.*, row_number() OVER (PARTITION BY RowID ORDER BY sim DESC, j) AS rk "
+    "FROM h) WHERE rk <= 40 AND sim > 0)",
+    "agg AS (SELECT RowID, sum(sim * rj) / sum(sim) AS est FROM top GROUP BY RowID)",
+]
+
+
+def _closeness_sql() -> str:
+    feats = ", ".join(f"avg({c}) AS {c}" for c in CONTENT_COLS)
+    prod = " * ".join(
+        f"CASE WHEN fi.{c} IS NULL OR fj.{c} IS NULL THEN 0.0 ELSE exp(-abs(fi.{c} - fj.{c}) / 10.0) END"
+        for c in CONTENT_COLS)
+    return q.with_ctes(*_ENG_BASE,
+                       f"ft AS (SELECT ReviewerID AS i, {feats} FROM eng WHERE split = 'train' GROUP BY ReviewerID)",
+                       f"h AS (SELECT hist.*, round({prod}, 12) AS sim FROM hist "
+                       "LEFT JOIN ft fi ON fi.i = hist.i LEFT JOIN ft fj ON fj.i = hist.j)",
+                       *_CONTENT_TAIL,
+                       "pred AS (SELECT tg.RowID, CASE WHEN ki.i IS NOT NULL THEN a.est END AS est FROM tg "
+                       "LEFT JOIN agg a ON tg.RowID = a.RowID LEFT JOIN ft ki ON ki.i = tg.i)") + _FINAL
+
+
+def _cosine_sql() -> str:
+    return q.with_ctes(
+        *_ENG_BASE,
+        "tc AS (SELECT ReviewerID AS i, BeerType AS t, count(*) AS c FROM eng WHERE split = 'train' "
+        "GROUP BY ReviewerID, BeerType)",
+        "nm AS (SELECT i, sqrt(sum(c * c)) AS nrm FROM tc GROUP BY i)",
+        "hp AS (SELECT DISTINCT i, j FROM hist)",
+        "dotp AS (SELECT hp.i, hp.j, sum(a.c * b.c) AS dot FROM hp JOIN tc a ON a.i = hp.i "
+        "JOIN tc b ON b.i = hp.j AND b.t = a.t GROUP BY hp.i, hp.j)",
+        "h AS (SELECT hist.*, round(coalesce(CASE WHEN na.nrm * nb.nrm = 0 THEN 0.0 "
+        "ELSE coalesce(d.dot, 0) / (na.nrm * nb.nrm) END, 0.0), 12) AS sim FROM hist "
+        "LEFT JOIN dotp d ON d.i = hist.i AND d.j = hist.j LEFT JOIN nm na ON na.i = hist.i "
+        "LEFT JOIN nm nb ON nb.i = hist.j)",
+        *_CONTENT_TAIL,
+        "pred AS (SELECT tg.RowID, CASE WHEN ki.i IS NOT NULL THEN a.est END AS est FROM tg "
+        "LEFT JOIN agg a ON tg.RowID = a.RowID LEFT JOIN nm ki ON ki.i = tg.i)") + _FINAL
+
+
+def _content_predict(spark, sf, kind):
+    eng = engineered_features(spark, sf)
+    train = eng.where(F.col("split") == "train")
+    if kind == "closeness":
+        feats = item_features_mean(train, "ReviewerID", CONTENT_COLS)
+    else:
+        feats = item_count_vectors(train, "ReviewerID", "BeerType")
+    model = fit_content_knn(train, feats, kind=kind)
+    p = model.predict(eng.where(F.col("split") != "train").select("RowID", "split", "BeerID", "ReviewerID"))
+    return p.select("RowID", "split", r6("est").alias("est"), "was_impossible")
+
+
+@query("content_knn", sql=_closeness_sql())
+def content_knn(spark, sf):
+    return _content_predict(spark, sf, "closeness")
+
+
+@query("content_knn_cosine", sql=_cosine_sql())
+def content_knn_cosine(spark, sf):
+    return _content_predict(spark, sf, "cosine")
