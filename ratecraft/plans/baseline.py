@@ -7,8 +7,9 @@ two aggregations.  The ratings are hash-partitioned once by user and once by
 item and kept; the bias tables come out of an aggregation hash-partitioned on
 the same key, so the per-epoch joins do not move the ratings — only partial
 sums (at most one row per key and map task) cross the shuffle.  The bias
-tables are checkpointed (reliably, to the shared folder) after each epoch so
-the plan does not grow with the epoch count.
+tables of each epoch are persisted (a lost cache block is recomputed from
+lineage) and reliably checkpointed to the shared folder every few epochs, so
+the plan stays short and one job runs several epochs.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.plans.base import DEFAULT_ROLES, Model, Roles, finish, global_stats, triples
-from ratecraft.session import cut_lineage
+from ratecraft.session import EpochState, cut_lineage
 from ratecraft.sources.ratings import RATING_SCALE
 
 
@@ -46,30 +47,30 @@ class BaselineModel(Model):
 def fit_baseline(train: DataFrame, roles: Roles = DEFAULT_ROLES, n_epochs: int = 10,
                  reg_u: float = 15.0, reg_i: float = 10.0, scale=RATING_SCALE,
                  checkpoint_every: int = 1) -> BaselineModel:
-    r = triples(train, roles)
-    mu, _, _ = global_stats(r)
     n_part = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_u = cut_lineage(r.repartition(n_part, "u"))
-    by_i = cut_lineage(r.repartition(n_part, "i"))
-    bu = None
-    bi = None
+    base = cut_lineage(triples(train, roles))
+    mu, _, _ = global_stats(base)
+    # two cached copies, hash-partitioned by user and by item; their lineage
+    # ends at the checkpoint above
+    by_u = base.repartition(n_part, "u").persist()
+    by_i = base.repartition(n_part, "i").persist()
+    state = EpochState(checkpoint_every)
+    bu = bi = None
     for epoch in range(n_epochs):
         src = by_u if bu is None else by_u.join(bu, "u", "left")
         dev_u = F.coalesce(F.col("bu"), F.lit(0.0)) if bu is not None else F.lit(0.0)
         bi = (src.groupBy("i")
               .agg((F.sum(F.col("r") - F.lit(mu) - dev_u) /
                     (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi")))
-        bi = bi.repartition(n_part, "i")
-        if (epoch + 1) % checkpoint_every == 0:
-            bi = cut_lineage(bi)
         bu = (by_i.join(bi, "i", "left")
               .groupBy("u")
               .agg((F.sum(F.col("r") - F.lit(mu) - F.col("bi")) /
                     (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu")))
-        bu = bu.repartition(n_part, "u")
-        if (epoch + 1) % checkpoint_every == 0 or epoch == n_epochs - 1:
-            bu = cut_lineage(bu)
+        t = state.step({"bi": bi, "bu": bu}, epoch, last=epoch == n_epochs - 1)
+        bi, bu = t["bi"], t["bu"]
     if bi is None:  # zero epochs: all biases 0
-        bi = by_i.select("i").distinct().withColumn("bi", F.lit(0.0))
-        bu = by_u.select("u").distinct().withColumn("bu", F.lit(0.0))
+        bi = cut_lineage(base.select("i").distinct().withColumn("bi", F.lit(0.0)))
+        bu = cut_lineage(base.select("u").distinct().withColumn("bu", F.lit(0.0)))
+    by_u.unpersist()
+    by_i.unpersist()
     return BaselineModel(mu, bu, bi, roles, scale)

@@ -30,7 +30,7 @@ from ratecraft.plans.text_models import (doc_vectors, fit_text_classifier, fit_w
                                          predict_text_classifier)
 from ratecraft.plans.tuning import (ablation, bake_off, cross_validate, grid_search,
                                     random_search)
-from ratecraft.session import scratch_path
+from ratecraft.session import cut_lineage, scratch_path
 from ratecraft.sources import files as fs
 from ratecraft.sources import ratings as rt
 from ratecraft.sources.tables import read_table
@@ -51,31 +51,31 @@ def _pred_out(p):
 # ---------------------------------------------------------------- M1 / M7 / M8 / M9 / M11 / M32
 @query("normal_predict")
 def normal_predict(spark, sf):
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     return _pred_out(fit_normal(_split(t, "train")).predict(_targets(t)))
 
 
 @query("svd_predict", bench=True)
 def svd_predict(spark, sf):
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     return _pred_out(fit_svd(_split(t, "train")).predict(_targets(t)))
 
 
 @query("svdpp_predict")
 def svdpp_predict(spark, sf):
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     return _pred_out(fit_svdpp(_split(t, "train"), n_epochs=8).predict(_targets(t)))
 
 
 @query("nmf_predict")
 def nmf_predict(spark, sf):
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     return _pred_out(fit_nmf(_split(t, "train")).predict(_targets(t)))
 
 
 @query("coclustering_predict")
 def coclustering_predict(spark, sf):
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     return _pred_out(fit_coclustering(_split(t, "train"), n_epochs=10).predict(_targets(t)))
 
 
@@ -98,7 +98,7 @@ def _feature_cols(df):
 
 
 def _eng(spark, sf):
-    return encoded_features(spark, sf)
+    return cut_lineage(encoded_features(spark, sf))
 
 
 @query("gbt_predict", bench=True)
@@ -166,7 +166,7 @@ def embedding_mean_by_label(spark, sf):
 
 @query("beername_text_classifier")
 def beername_text_classifier(spark, sf):
-    named = rt.ratings(spark, sf).withColumn("rating", F.round("rating", 1))
+    named = rt.ratings(spark, sf).withColumn("rating", F.round(F.col("rating") * 2) / 2)
     clean = prepare_text(named.select("RowID", "BeerName"), "BeerName")
     j = clean.join(named.select("RowID", "split", "rating"), "RowID")
     model = fit_text_classifier(_split(j, "train"), "BeerName", max_iter=20)
@@ -184,7 +184,7 @@ FROM li JOIN (SELECT pr.est, r.BeerID AS uid, r.ReviewerID AS iid FROM pred pr
   ON li.BeerID = p.uid AND li.ReviewerID = p.iid""")
 def prediction_fanout(spark, sf):
     """Raw line items (pairs repeat) ⋈ predictions on (uid, iid) — fans out."""
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     model = fit_baseline(_split(t, "train"))
     preds = model.predict(_targets(t)).select(F.col("BeerID").alias("uid"),
                                              F.col("ReviewerID").alias("iid"), "est")
@@ -219,7 +219,7 @@ FROM ratings r JOIN bl ON r.RowID = bl.RowID JOIN so ON r.RowID = so.RowID"""
 @query("ensemble_frame", sql=_slope_baseline_sql())
 def ensemble_frame_q(spark, sf):
     """Two models' predictions pivoted next to (RowID, split, rating)."""
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     tr, tg = _split(t, "train"), _targets(t)
     long = long_predictions({"baseline": fit_baseline(tr).predict(tg),
                              "slope_one": fit_slope_one(tr).predict(tg)})
@@ -230,7 +230,7 @@ def ensemble_frame_q(spark, sf):
 def stacked_run(spark, sf, base_models=None):
     """Base models on train → predictions for val and test → one long table
     → pivot → meta-model fitted on val → report."""
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     tr, tg = _split(t, "train"), _targets(t)
     base_models = base_models or {
         "baseline": fit_baseline, "slope_one": fit_slope_one,
@@ -263,7 +263,7 @@ def ensemble_test_run(spark, sf):
 
 # ---------------------------------------------------------------- M26–M29
 def _train_triples(spark, sf):
-    return _split(rt.rating_triples(spark, sf), "train")
+    return cut_lineage(_split(rt.rating_triples(spark, sf), "train"))
 
 
 @query("baseline_cv")
@@ -321,7 +321,7 @@ def tsv_roundtrip(spark, sf):
 @query("run_file_roundtrip", sql=_baseline_sql("SELECT RowID, round((est) + 1e-10, 6) AS Score FROM pred"))
 def run_file_roundtrip(spark, sf):
     """K1 subrun CSV → K3 conversion → K2 run TSV → read back."""
-    t = rt.rating_triples(spark, sf)
+    t = cut_lineage(rt.rating_triples(spark, sf))
     model = fit_baseline(_split(t, "train"))
     p = model.predict(_targets(t))
     sub, run = scratch_path(spark, "subrun"), scratch_path(spark, "run")

@@ -76,9 +76,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (shared folder), keeping the output partitioning."""
+    """Reliable checkpoint to the shared folder.
+
+    The input is persisted for the duration of the checkpoint: the checkpoint
+    write is a second job over the same RDD, and without the cache it would
+    recompute the whole input.  Reads afterwards come from the checkpoint
+    files, so the cache is released straight away.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    cached = df.persist()
+    out = cached.checkpoint(eager=eager)
+    if eager:
+        cached.unpersist()
+    return out
 
 
 def local_path(path: str) -> str:
@@ -88,3 +98,30 @@ def local_path(path: str) -> str:
 def ensure_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+class EpochState:
+    """State tables of an iterative fit.
+
+    Each epoch's tables are persisted (a lost block is recomputed from the
+    short lineage back to the last checkpoint); every ``every`` epochs, and at
+    the end, they are checkpointed reliably to the shared folder and the
+    superseded caches are released.  Keep ``every`` small: a chain of cached
+    adaptive plans nests each level's initial and final plan, so plan
+    descriptions grow exponentially with the number of cached epochs.
+    """
+
+    def __init__(self, every: int = 1):
+        self.every = max(1, every)
+        self.cached: list[DataFrame] = []
+
+    def step(self, tables: dict, epoch: int, last: bool = False) -> dict:
+        if (epoch + 1) % self.every == 0 or last:
+            out = {k: cut_lineage(v) for k, v in tables.items()}
+            for c in self.cached:
+                c.unpersist()
+            self.cached = []
+            return out
+        out = {k: v.persist() for k, v in tables.items()}
+        self.cached.extend(out.values())
+        return out
