@@ -85,9 +85,12 @@ def _fit_frame(df: DataFrame, fit_on: str, split_col: str) -> tuple[DataFrame, s
     return df, None
 
 
-def impute_mean(df: DataFrame, col: str, fit_on: str = "each", split_col: str = "split") -> DataFrame:
-    """Null → mean of the column (per split by default, as the reference does)."""
-    src, by = _fit_frame(df, fit_on, split_col) if split_col in df.columns else (df, None)
+def impute_mean(df: DataFrame, col: str, fit_on: str = "each", split_col: str = "split",
+                stats_from: DataFrame | None = None) -> DataFrame:
+    """Null → mean of the column (per split by default, as the reference does).
+    ``stats_from`` is a cheaper frame with the same rows to compute the means on."""
+    base = stats_from if stats_from is not None else df
+    src, by = _fit_frame(base, fit_on, split_col) if split_col in base.columns else (base, None)
     stats = _group_rows(src, by, [F.avg(col).alias("m")])
     fill = _per_group(by, stats, lambda r: F.lit(r["m"]))
     return df.withColumn(col, F.coalesce(F.col(col), fill))

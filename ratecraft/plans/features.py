@@ -15,7 +15,7 @@ from ratecraft.functions import encode as enc
 from ratecraft.functions import numeric as num
 from ratecraft.operators import aggregates as agg
 from ratecraft.operators.columns import SCALED_COLS
-from ratecraft.operators.joins import join_features
+from ratecraft.session import cut_lineage
 from ratecraft.sources import ratings as rt
 
 # Fixed reference year for the age feature in registered (checked) queries.
@@ -32,22 +32,34 @@ def date_parts(df: DataFrame, as_of_year: int | None = None) -> DataFrame:
     })
 
 
+def _engineered(pt: DataFrame, as_of_year: int | None, impute_fit_on: str) -> DataFrame:
+    base = rt.features_from(pt, keep=rt.RATING_PROJECTION)
+    j = agg.add_review_counts(base)
+    j = date_parts(j, as_of_year)
+    # the means need only two plain columns: take them from the snapshot projection
+    return num.impute_mean(j, "ABV", fit_on=impute_fit_on, stats_from=base.select("split", "ABV"))
+
+
 def engineered_features(spark: SparkSession, sf_dir: str, as_of_year: int | None = AS_OF_YEAR,
                         impute_fit_on: str = "each") -> DataFrame:
-    t = rt.ratings(spark, sf_dir)
-    f = rt.features(spark, sf_dir).drop("split")
-    j = join_features(t, f)
-    j = agg.add_review_counts(j)
-    j = date_parts(j, as_of_year)
-    return num.impute_mean(j, "ABV", fit_on=impute_fit_on)
+    """Ratings and raw features come from one snapshot of the per-pair table, so
+    the line-item aggregation runs once and they line up row for row (the
+    reference joins two files on RowID; here both are projections of one
+    table, and ``join_features`` remains for separately stored inputs)."""
+    pt = cut_lineage(rt.pair_table(spark, sf_dir))
+    return _engineered(pt, as_of_year, impute_fit_on)
 
 
 def encoded_features(spark: SparkSession, sf_dir: str, scale: str | None = None,
                      fit_on: str = "each", as_of_year: int | None = AS_OF_YEAR) -> DataFrame:
-    """E1 without text: numeric features + one-hot BeerType / Gender (+ scaling)."""
-    df = engineered_features(spark, sf_dir, as_of_year)
-    df = enc.one_hot(df, "BeerType")
-    df = enc.one_hot(df, "Gender")
+    """E1 without text: numeric features + one-hot BeerType / Gender (+ scaling).
+    Category lists are read from the snapshot columns (all splits at once, C29)."""
+    pt = cut_lineage(rt.pair_table(spark, sf_dir))
+    df = _engineered(pt, as_of_year, "each")
+    types = enc.categories(pt.select(F.col("p_type").alias("BeerType")), "BeerType")
+    genders = enc.categories(pt.select(F.col("c_mktsegment").alias("Gender")), "Gender")
+    df = enc.one_hot(df, "BeerType", types)
+    df = enc.one_hot(df, "Gender", genders)
     if scale == "zscore":
         df = num.zscore(df, SCALED_COLS, fit_on=fit_on)
     elif scale == "minmax":

@@ -61,6 +61,24 @@ def rating_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "RowID", "BeerID", "ReviewerID", "rating", "split")
 
 
+def pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (customer, part) pair with keys, rating and every attribute
+    the ratings and features tables are projected from."""
+    part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand")
+    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    p = with_keys(pair_lines(spark, sf_dir))
+    return (p.join(part, p.BeerID == part.p_partkey)
+            .join(cust, F.col("ReviewerID") == cust.c_custkey))
+
+
+RATING_PROJECTION = ("BeerID", "ReviewerID", F.col("p_name").alias("BeerName"),
+                     F.col("p_type").alias("BeerType"), "rating")
+
+
+def ratings_from(pt: DataFrame) -> DataFrame:
+    return pt.select("RowID", *RATING_PROJECTION, "split")
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six-column ratings table plus ``split``."""
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type")
@@ -86,26 +104,17 @@ def _birthday(custkey: Column, nationkey: Column) -> Column:
             .otherwise(F.concat(month, F.lit(" "), day, F.lit(", "), year)))
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-RowID features (the thirteen-column features file minus the text columns).
-
-    ``ABV`` is the smallest discount × 100, null when it is 0; day/month names
-    are upper-cased for every third reviewer to exercise case folding.
-    """
-    p = pair_lines(spark, sf_dir)
-    cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    part = read_table(spark, sf_dir, "part", "p_partkey", "p_brand")
+def features_from(pt: DataFrame, keep=()) -> DataFrame:
+    """Per-RowID features projected from ``pair_table`` (see ``features``),
+    plus any ``keep`` columns / expressions."""
     upper = F.pmod(F.col("ReviewerID"), F.lit(3)) == 0
     dow = F.date_format("first_ship", "EEE")
     mon = F.date_format("first_ship", "MMM")
     secs = F.pmod(F.col("first_order") * F.lit(7919) + F.col("BeerID"), F.lit(86400))
     tod = F.format_string("%02d:%02d:%02d", (secs / 3600).cast("int"),
                           (F.pmod(secs, F.lit(3600)) / 60).cast("int"), F.pmod(secs, F.lit(60)))
-    f = (with_keys(p)
-         .join(cust, F.col("ReviewerID") == cust.c_custkey)
-         .join(part, F.col("BeerID") == part.p_partkey))
-    return f.select(
-        "RowID",
+    return pt.select(
+        "RowID", *keep,
         F.regexp_extract("p_brand", r"(\d+)$", 1).cast("long").alias("BrewerID"),
         F.when(F.col("min_discount") * 100 == 0, F.lit(None).cast("double"))
          .otherwise(F.round(F.col("min_discount") * 100, 2)).alias("ABV"),
@@ -119,6 +128,15 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "split")
 
 
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-RowID features (the thirteen-column features file minus the text columns).
+
+    ``ABV`` is the smallest discount × 100, null when it is 0; day/month names
+    are upper-cased for every third reviewer to exercise case folding.
+    """
+    return features_from(pair_table(spark, sf_dir))
+
+
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write to the shared scratch folder as parquet and read it back (K6)."""
     spark = df.sparkSession
