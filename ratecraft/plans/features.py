@@ -33,7 +33,7 @@ def date_parts(df: DataFrame, as_of_year: int | None = None) -> DataFrame:
 
 
 def _engineered(pt: DataFrame, as_of_year: int | None, impute_fit_on: str) -> DataFrame:
-    base = rt.features_from(pt, keep=rt.RATING_PROJECTION)
+    base = rt.features_from(pt, keep=rt.rating_projection())
     j = agg.add_review_counts(base)
     j = date_parts(j, as_of_year)
     # the means need only two plain columns: take them from the snapshot projection

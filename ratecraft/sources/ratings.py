@@ -71,12 +71,13 @@ def pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(cust, F.col("ReviewerID") == cust.c_custkey))
 
 
-RATING_PROJECTION = ("BeerID", "ReviewerID", F.col("p_name").alias("BeerName"),
-                     F.col("p_type").alias("BeerType"), "rating")
+def rating_projection() -> list:
+    return ["BeerID", "ReviewerID", F.col("p_name").alias("BeerName"),
+            F.col("p_type").alias("BeerType"), "rating"]
 
 
 def ratings_from(pt: DataFrame) -> DataFrame:
-    return pt.select("RowID", *RATING_PROJECTION, "split")
+    return pt.select("RowID", *rating_projection(), "split")
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

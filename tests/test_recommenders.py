@@ -114,3 +114,19 @@ def test_baseline_beats_global_mean_on_train(spark):
     base_mae = mae_value(m.predict(tr))
     mean_mae = tr.agg(F.avg(F.abs(F.col("rating") - F.lit(mu)))).first()[0]
     assert base_mae <= mean_mae
+
+
+def test_pair_stats_paths_agree(spark):
+    """The in-row map path and the expansion path give the same sums."""
+    from ratecraft.plans.base import DEFAULT_ROLES, triples
+    from ratecraft.sources.ratings import rating_triples
+    r = triples(rating_triples(spark, "/root/testdata/sf0.001").where(F.col("split") == "train"), DEFAULT_ROLES)
+    pairs = (r.select(F.col("u").alias("x")).distinct()
+             .join(r.select(F.col("u").alias("y")).distinct(), F.col("x") < F.col("y"))
+             .limit(3000))
+    a = {(q["x"], q["y"]): q for q in pair_stats(r, pairs, "u", "i", light_degree=2000).collect()}
+    b = {(q["x"], q["y"]): q for q in pair_stats(r, pairs, "u", "i", light_degree=0).collect()}
+    assert a.keys() == b.keys() and len(a) > 0
+    for k in a:
+        for f in ("n", "s_d", "s_d2", "s_xy", "s_xx", "s_yy"):
+            assert a[k][f] == pytest.approx(b[k][f], abs=1e-9)
