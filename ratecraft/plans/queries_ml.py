@@ -328,3 +328,20 @@ def run_file_roundtrip(spark, sf):
     fs.write_subrun(p, sub)
     fs.subrun_to_run(spark, sub, run)
     return fs.read_run(spark, run).select("RowID", r6("Score").alias("Score"))
+
+
+# ---------------------------------------------------------------- streaming (M23 on a stream)
+@query("stream_scored_lines", sql=_baseline_sql("") + """,
+li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS BeerID, o.o_custkey AS ReviewerID
+       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT li.l_orderkey, li.l_linenumber, li.BeerID, li.ReviewerID, round((p.est) + 1e-10, 6) AS est
+FROM li JOIN (SELECT pr.est, r.BeerID, r.ReviewerID FROM pred pr JOIN ratings r ON pr.RowID = r.RowID) p
+  ON li.BeerID = p.BeerID AND li.ReviewerID = p.ReviewerID""")
+def stream_scored_lines(spark, sf):
+    """Line items arriving as a file stream, scored by a baseline fitted on train."""
+    from ratecraft.streaming.scoring import run_scoring
+    t = cut_lineage(rt.rating_triples(spark, sf))
+    model = fit_baseline(_split(t, "train"))
+    preds = cut_lineage(model.predict(_targets(t)).select("BeerID", "ReviewerID", "est"))
+    out = run_scoring(spark, sf, preds)
+    return out.select("l_orderkey", "l_linenumber", "BeerID", "ReviewerID", r6("est").alias("est"))

@@ -1,0 +1 @@
+"""Structured Streaming: scoring arriving line items with a fitted model."""
