@@ -345,3 +345,35 @@ def stream_scored_lines(spark, sf):
     preds = cut_lineage(model.predict(_targets(t)).select("BeerID", "ReviewerID", "est"))
     out = run_scoring(spark, sf, preds)
     return out.select("l_orderkey", "l_linenumber", "BeerID", "ReviewerID", r6("est").alias("est"))
+
+
+# ---------------------------------------------------------------- E2 / E1 end to end
+@query("collaborative_run", sql=_baseline_sql(
+    "SELECT split, round((avg(abs(rating - est))) + 1e-10, 6) AS mae, count(*) AS n FROM pred GROUP BY split"))
+def collaborative_run(spark, sf):
+    """Fit-or-load (K7) → predict → subrun file (K1) → ids ⋈ subrun on the pair (J3,
+    deduplicated) → MAE per split (A13)."""
+    t = cut_lineage(rt.rating_triples(spark, sf))
+    model = fs.fit_or_load_baseline(_split(t, "train"), scratch_path(spark, "model-baseline"))
+    sub = scratch_path(spark, "subrun-baseline")
+    fs.write_subrun(model.predict(_targets(t)), sub)
+    preds = fs.read_csv_header(spark, sub, fs.SUBRUN_SCHEMA).select(
+        F.col("BeerID").alias("uid"), F.col("ReviewerID").alias("iid"), F.col("Predict").alias("est"))
+    j = join_predictions(_targets(t), preds, dedupe=True)
+    return (j.groupBy("split").agg(F.avg(F.abs(F.col("rating") - F.col("est"))).alias("mae"),
+                                   F.count(F.lit(1)).alias("n"))
+            .select("split", r6("mae").alias("mae"), "n"))
+
+
+@query("feature_table_build")
+def feature_table_build(spark, sf):
+    """Encoded features + BeerName document vectors (M18 → M20 → M21), written
+    once partitioned by split (K6) and read back."""
+    e = _eng(spark, sf)
+    named = rt.ratings(spark, sf)
+    clean = prepare_text(named.select("RowID", "BeerName"), "BeerName")
+    vecs = doc_vectors(fit_word2vec(clean, "BeerName", dim=8), clean, "BeerName", expand=True)
+    table = e.drop("BeerName").join(vecs, "RowID")
+    path = scratch_path(spark, "features-by-split")
+    fs.write_split_tables(table, path)
+    return spark.read.parquet(path)
