@@ -3,13 +3,14 @@
 
 Each epoch first sets every item bias to Σ(r − μ − b_u) / (reg_i + n_i), then
 every user bias to Σ(r − μ − b_i) / (reg_u + n_u).  One epoch is two joins and
-two aggregations.  The ratings are hash-partitioned once by user and once by
-item and kept; the bias tables come out of an aggregation hash-partitioned on
-the same key, so the per-epoch joins do not move the ratings — only partial
-sums (at most one row per key and map task) cross the shuffle.  The bias
-tables of each epoch are persisted (a lost cache block is recomputed from
-lineage) and reliably checkpointed to the shared folder every few epochs, so
-the plan stays short and one job runs several epochs.
+two aggregations.  The ratings are cached once, evenly partitioned (not by
+key: a user holding a third of all ratings would otherwise sit in one
+partition and one task every epoch).  Each epoch joins them to a bias table —
+a broadcast while the table is small, otherwise a shuffle join whose hot
+partitions AQE splits — and aggregates with map-side partial sums, so only
+one row per key and task crosses the shuffle.  Bias tables are reliably
+checkpointed to the shared folder each epoch; the cached ratings' lineage
+ends at a checkpoint too, so a lost executor costs a short recomputation.
 """
 
 from __future__ import annotations
@@ -47,13 +48,10 @@ class BaselineModel(Model):
 def fit_baseline(train: DataFrame, roles: Roles = DEFAULT_ROLES, n_epochs: int = 10,
                  reg_u: float = 15.0, reg_i: float = 10.0, scale=RATING_SCALE,
                  checkpoint_every: int = 1) -> BaselineModel:
-    n_part = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = cut_lineage(triples(train, roles))
     mu, _, _ = global_stats(base)
-    # two cached copies, hash-partitioned by user and by item; their lineage
-    # ends at the checkpoint above
-    by_u = base.repartition(n_part, "u").persist()
-    by_i = base.repartition(n_part, "i").persist()
+    # one cached copy, evenly partitioned; its lineage ends at the checkpoint above
+    by_u = by_i = base.persist()
     state = EpochState(checkpoint_every)
     bu = bi = None
     for epoch in range(n_epochs):
@@ -71,6 +69,5 @@ def fit_baseline(train: DataFrame, roles: Roles = DEFAULT_ROLES, n_epochs: int =
     if bi is None:  # zero epochs: all biases 0
         bi = cut_lineage(base.select("i").distinct().withColumn("bi", F.lit(0.0)))
         bu = cut_lineage(base.select("u").distinct().withColumn("bu", F.lit(0.0)))
-    by_u.unpersist()
-    by_i.unpersist()
+    base.unpersist()
     return BaselineModel(mu, bu, bi, roles, scale)
