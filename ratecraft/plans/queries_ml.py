@@ -18,7 +18,7 @@ from ratecraft.plans import oracle_sql as q
 from ratecraft.plans.baseline import fit_baseline
 from ratecraft.plans.catalog import query
 from ratecraft.plans.cocluster import fit_coclustering
-from ratecraft.plans.ensemble import long_predictions, model_report as report, stack
+from ratecraft.plans.ensemble import long_predictions, model_report as report, run_concurrently, stack
 from ratecraft.plans.evaluate import mae_value
 from ratecraft.plans.factorization import fit_implicit, fit_nmf, fit_normal, fit_svd, fit_svdpp
 from ratecraft.plans.features import encoded_features
@@ -232,14 +232,24 @@ def stacked_run(spark, sf, base_models=None):
     → pivot → meta-model fitted on val → report."""
     t = cut_lineage(rt.rating_triples(spark, sf))
     tr, tg = _split(t, "train"), _targets(t)
-    base_models = base_models or {
-        "baseline": fit_baseline, "slope_one": fit_slope_one,
-        "knn_means": lambda d: fit_knn(d, "means", k=80), "svd": fit_svd}
-    preds = {name: fit(tr).predict(tg) for name, fit in base_models.items()}
-    e = _eng(spark, sf)
-    cols = _feature_cols(e)
-    gbt = fit_gbt(_split(e, "train"), cols, max_iter=20, max_depth=5)
-    preds["gbt_features"] = gbt.predict(e.where(F.col("split") != "train").select("RowID", *cols))
+    if base_models is None:
+        bsl = fit_baseline(tr)
+        base_models = {
+            "baseline": lambda d: bsl, "slope_one": fit_slope_one,
+            "knn_means": lambda d: fit_knn(d, "means", k=80),
+            "svd": lambda d: fit_svd(d, baseline=bsl)}  # the same biases, fitted once
+    def fit_predict(fit):
+        return cut_lineage(fit(tr).predict(tg).select("RowID", "est"))
+
+    def gbt_features():
+        e = _eng(spark, sf)
+        cols = _feature_cols(e)
+        gbt = fit_gbt(_split(e, "train"), cols, max_iter=20, max_depth=5)
+        return cut_lineage(gbt.predict(e.where(F.col("split") != "train").select("RowID", *cols)))
+
+    tasks = {name: (lambda fit=fit: fit_predict(fit)) for name, fit in base_models.items()}
+    tasks["gbt_features"] = gbt_features
+    preds = run_concurrently(tasks, max_workers=len(tasks))
     long = long_predictions(preds)
     models = list(preds)
     base = tg.select("RowID", "split", "rating")
