@@ -382,3 +382,40 @@ def interactions(spark, sf):
     j = t.join(part, t.BeerID == part.p_partkey)
     return j.select("ReviewerID", "BeerID",
                     enc.comma_join(["p_size", "p_retailprice"]).alias("item_tokens"))
+
+
+# ---------------------------------------------------------------- F2 / F4 / F5 / A27
+@query("abv_not_five", sql=W(q.FEATURES_CTE) + """
+SELECT RowID, ABV FROM feat WHERE ABV IS DISTINCT FROM 5.0""")
+def abv_not_five(spark, sf):
+    """F2 with pandas semantics: ``df[df.ABV != 5]`` keeps the rows whose ABV is null."""
+    f = rt.features(spark, sf).select("RowID", "ABV")
+    return f.where(cols.not_equal_keep_null(F.col("ABV"), 5.0))
+
+
+@query("targets_with_known_beer", sql=W(q.RATINGS_CTE) + """
+SELECT RowID, split FROM ratings t
+WHERE t.split <> 'train'
+  AND EXISTS (SELECT 1 FROM ratings r WHERE r.split = 'train' AND r.BeerID = t.BeerID)""")
+def targets_with_known_beer(spark, sf):
+    """key-exists test as a left-semi join (never a per-row lookup)."""
+    t = rt.rating_triples(spark, sf)
+    known = t.where(F.col("split") == "train").select("BeerID")
+    return cols.keys_present(known, t.where(F.col("split") != "train").select("RowID", "split", "BeerID"),
+                             "BeerID").select("RowID", "split")
+
+
+@query("target_abv_lookup", sql=W(q.FEATURES_CTE) + """
+SELECT r.RowID, f.ABV FROM ratings r LEFT JOIN feat f ON r.RowID = f.RowID WHERE r.split = 'val'""")
+def target_abv_lookup(spark, sf):
+    """scalar lookup by key as an equi-join."""
+    t = rt.rating_triples(spark, sf).where(F.col("split") == "val").select("RowID")
+    return cols.lookup(rt.features(spark, sf), t, "RowID", "ABV")
+
+
+@query("feature_table_shape", sql=W(q.FEATURES_CTE) + """
+SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_cols FROM feat""")
+def feature_table_shape(spark, sf):
+    """(rows, columns) of the features table as a one-row result."""
+    f = rt.features(spark, sf)
+    return f.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(f.columns)).cast("long"))
