@@ -100,6 +100,16 @@ def top_bigrams(spark, sf):
     return cp.bigram_frequency(_doc_tokens(spark, sf)).orderBy(F.desc("n"), "a", "b").limit(20)
 
 
+@query("top_bigrams_corpus", sql=q.with_ctes(*_DOC, """seq AS (
+  SELECT tok, row_number() OVER (ORDER BY RowID, pos) AS g FROM lg)""") + """
+SELECT a.tok AS a, b.tok AS b, count(*) AS n FROM seq a JOIN seq b ON b.g = a.g + 1
+GROUP BY a.tok, b.tok ORDER BY n DESC, a, b LIMIT 20""")
+def top_bigrams_corpus(spark, sf):
+    """Bigrams over the whole corpus in document order (pairs cross document ends)."""
+    tok = _doc_tokens(spark, sf)
+    return cp.corpus_bigram_frequency(tok).orderBy(F.desc("n"), "a", "b").limit(20)
+
+
 @query("vocabulary_size", sql=q.with_ctes(*_DOC) + """
 SELECT count(*) AS n_words, count(DISTINCT tok) AS n_vocab FROM lg""")
 def vocabulary_size(spark, sf):

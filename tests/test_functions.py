@@ -132,3 +132,18 @@ def test_bigram_boundaries(spark):
     bounded = df.select("id", tx.merge_bigrams(F.col("v"), [("an", "ale")]).alias("out"))
     assert _vals(exact) == ["pecan_ale an_ale"]
     assert _vals(bounded) == ["pecan ale an_ale"]
+
+
+def test_corpus_bigrams_cross_document_ends(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(
+            ["dark ale", "porter", "!!", "stout dark", "ale porter", "ipa"])], "RowID long, text string")
+        freq = {(r["a"], r["b"]): r["n"] for r in cp.corpus_bigram_frequency(cp.tokenize(docs, "text")).collect()}
+        words = ["dark", "ale", "porter", "stout", "dark", "ale", "porter", "ipa"]
+        want = {}
+        for a, b in zip(words, words[1:]):
+            want[(a, b)] = want.get((a, b), 0) + 1
+        assert freq == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
