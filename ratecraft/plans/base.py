@@ -35,6 +35,16 @@ def triples(df: DataFrame, roles: Roles) -> DataFrame:
             .where(F.col("u").isNotNull() & F.col("i").isNotNull() & F.col("r").isNotNull()))
 
 
+# Largest table (in rows) that a model broadcasts to every executor; its row count
+# is known exactly from the fit.  Beyond it the same joins run as shuffle joins.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def maybe_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when its exact row count is under the bound."""
+    return F.broadcast(df) if 0 <= n_rows <= max_rows else df
+
+
 def clip(c: Column, scale=RATING_SCALE) -> Column:
     lo, hi = scale
     return F.least(F.greatest(c, F.lit(float(lo))), F.lit(float(hi)))

@@ -71,8 +71,9 @@ class ContentKnnModel(Model):
         fi = self.feats.select("i", *[F.col(c).alias(f"i_{c}") for c in fcols])
         fj = self.feats.select(F.col("i").alias("j"), *[F.col(c).alias(f"j_{c}") for c in fcols])
         h = hist.join(fi, "i", "left").join(fj, "j", "left")
-        h = h.withColumn("sim", F.round(self._sim(), SIM_DECIMALS))
-        top = top_k_per_group(h, "RowID", [F.desc("sim"), F.asc("j")], self.k).where(F.col("sim") > 0)
+        h = h.withColumn("sim", F.round(self._sim(), SIM_DECIMALS)).where(F.col("sim") > 0)
+        # positives rank ahead of the rest, so the filter before the top-k is exact
+        top = top_k_per_group(h, "RowID", [F.desc("sim"), F.asc("j")], self.k)
         agg = top.groupBy("RowID").agg((F.sum(F.col("sim") * F.col("rj")) / F.sum("sim")).alias("est"))
         known_i = self.feats.select("i").withColumn("known_i", F.lit(True))
         t = tg.join(agg, "RowID", "left").join(known_i, "i", "left")
