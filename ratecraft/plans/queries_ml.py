@@ -24,7 +24,7 @@ from ratecraft.plans.factorization import fit_implicit, fit_nmf, fit_normal, fit
 from ratecraft.plans.features import encoded_features
 from ratecraft.plans.neighbours import fit_knn, fit_slope_one
 from ratecraft.plans.queries_core import _baseline_sql, r6
-from ratecraft.plans.queries_models import _BASE, _FINAL
+from ratecraft.plans.queries_models import _BASE
 from ratecraft.plans.regression import fit_gbt, fit_lasso, fit_linear
 from ratecraft.plans.text_models import (doc_vectors, fit_text_classifier, fit_word2vec,
                                          predict_text_classifier)
@@ -89,9 +89,6 @@ def implicit_scores(spark, sf):
 
 
 # ---------------------------------------------------------------- M14–M17, M25, M33
-FEATURES = SCALED_COLS
-
-
 def _feature_cols(df):
     return [c for c in df.columns if c in SCALED_COLS or c.startswith("BeerType_")
             or c.startswith("Gender_")]

@@ -1,5 +1,4 @@
 """S1–S5, K1–K7, C32–C36 and the driver contract."""
-import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.functions import regexes as rx

@@ -1,7 +1,6 @@
 """A13, A21–A23, J3, J7, C27–C29, P3, P11, quantiles, histograms."""
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from ratecraft.functions import encode as enc
 from ratecraft.operators import columns as cols
