@@ -55,16 +55,16 @@ def source_targets(blocks: DataFrame, weights: Sequence[float], ratio: float, ca
     by_level = [F.col("__level"), F.col("__rank")]
     leveled = ordered_parts(named, by_level, "mix-levels")
     filled = running(leveled, by_level, {"__caps": "__cap", "__ws": "__w"})
-    totals = leveled.agg(F.sum("__w").alias("__all_w"), (F.sum("__size") * F.lit(float(ratio))).alias("__budget"))
-    filled = filled.crossJoin(F.broadcast(totals)).withColumn(  # one row of totals
-        "__full", F.col("__caps") + F.col("__level") * (F.col("__all_w") - F.col("__ws")) <= F.col("__budget"))
-    used = filled.agg(F.coalesce(F.sum(F.when(F.col("__full"), F.col("__cap"))), F.lit(0.0)).alias("__used"),
-                      F.sum(F.when(~F.col("__full"), F.col("__w"))).alias("__open"))
-    target = F.when(F.col("__full"), F.col("__cap")).otherwise(
-        (F.col("__budget") - F.col("__used")) / F.col("__open") * F.col("__w"))
-    return filled.crossJoin(F.broadcast(used)).select(  # one row of totals
-        "__source", "__size", target.alias("__target"),
-        F.when(F.col("__size") > 0, F.floor(target / F.col("__size") * UNIT + 0.5)).otherwise(0)
+    all_w = leveled.agg(F.sum("__w")).scalar()
+    budget = leveled.agg(F.sum("__size") * F.lit(float(ratio))).scalar()
+    filled = saved(filled.withColumns({"__budget": budget, "__full": F.col("__caps") + F.col("__level") * (
+        all_w - F.col("__ws")) <= budget}), "mix-full")
+    used = filled.agg(F.coalesce(F.sum(F.when(F.col("__full"), F.col("__cap"))), F.lit(0.0))).scalar()
+    open_w = filled.agg(F.sum(F.when(~F.col("__full"), F.col("__w")))).scalar()
+    target = F.when(F.col("__full"), F.col("__cap")).otherwise((F.col("__budget") - used) / open_w * F.col("__w"))
+    return filled.withColumn("__target", target).select(
+        "__source", "__size", "__target",
+        F.when(F.col("__size") > 0, F.floor(F.col("__target") / F.col("__size") * UNIT + 0.5)).otherwise(0)
         .cast("long").alias("__unit"))
 
 

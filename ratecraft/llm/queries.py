@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from ratecraft.llm import mixing, sharding
+from ratecraft.llm import bpe, chunks, merkle, mixing, sharding, simhash
 
 QUERIES = {
+    "op3_merkle_fingerprints": merkle.op3_merkle_fingerprints,
+    "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_source_mixing": mixing.op8_source_mixing,
+    "op9_chunk_dedup": chunks.op9_chunk_dedup,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
 }
 
 ORACLES = {
+    "op3_merkle_fingerprints": merkle.OP3_SQL,
     "op8_source_mixing": mixing.OP8_SQL,
     "op10_rendezvous_sharding": sharding.OP10_SQL,
 }
