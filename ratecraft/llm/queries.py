@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ratecraft.llm import bpe, chunks, merkle, mixing, sharding, simhash
+from ratecraft.llm import bpe, chunks, lines, merkle, mixing, sharding, simhash
 
 QUERIES = {
+    "op2_fuzzy_line_dedup": lines.op2_fuzzy_line_dedup,
     "op3_merkle_fingerprints": merkle.op3_merkle_fingerprints,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op7_byte_bpe": bpe.op7_byte_bpe,
