@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from ratecraft.llm import bpe, chunks, lines, merkle, mixing, sharding, simhash
+from ratecraft.llm import bpe, chunks, lines, merkle, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_fuzzy_line_dedup": lines.op2_fuzzy_line_dedup,
     "op3_merkle_fingerprints": merkle.op3_merkle_fingerprints,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
+    "op6_line_quality": quality.op6_line_quality,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_source_mixing": mixing.op8_source_mixing,
     "op9_chunk_dedup": chunks.op9_chunk_dedup,
