@@ -177,6 +177,7 @@ def judge_documents(docs: DataFrame, model: dict, text: str = "text", min_conten
              "__content": F.lit(0.0), "__keep": F.lit(True)}
     rest = [c for c in docs.columns if c not in added]
     schema = docs.select(rest).withColumns(added).schema
+    columns = [*rest, *added]
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
     def run(batches):
@@ -196,7 +197,7 @@ def judge_documents(docs: DataFrame, model: dict, text: str = "text", min_conten
             kinds = pa.struct([*[(n, pa.int64()) for n in names[:-1]], (names[-1], pa.bool_())])
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(counts, kinds), pa.array(marks, pa.list_(pa.int8())), pa.array(shares, pa.float64()),
-                 pa.array(keep)], names=[*rest, *added])
+                 pa.array(keep)], names=columns)
 
     return docs.select(rest).mapInArrow(run, schema)
 
