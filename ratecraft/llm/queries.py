@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ratecraft.llm import bpe, chunks, lines, merkle, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_source_mixing": mixing.op8_source_mixing,
     "op9_chunk_dedup": chunks.op9_chunk_dedup,
     "op10_rendezvous_sharding": sharding.op10_rendezvous_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {

@@ -59,13 +59,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(key, fp): the fingerprint of each row's whole text, as a signed long."""
+    """(key, h, fp): text hash and fingerprint of each row's whole text, as signed longs."""
     def run(batch: pa.RecordBatch) -> dict:
-        fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64)
-        return {"key": batch.column(0), "fp": fps.view(np.int64)}
+        fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64)
+        return {"key": batch.column(0), "h": batch.column(1), "fp": fps.view(np.int64)}
 
     kind = docs.schema[key].dataType.simpleString()
-    return by_batch(docs.select(key, text), run, f"key {kind}, fp bigint")
+    return by_batch(docs.select(F.col(key), F.xxhash64(text), F.col(text)), run, f"key {kind}, h bigint, fp bigint")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -181,15 +181,31 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 2, n_pivots: int = PI
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
                     max_bits: int = 2) -> DataFrame:
-    """(key, fp, component): smallest key reachable by links of ``max_bits`` bits or fewer."""
+    """(key, h, fp, component, root): smallest key reachable by links of ``max_bits`` bits or fewer.
+
+    ``h`` is the text's hash; ``root`` (a fingerprint) names the component.
+    """
     rows = saved(fingerprints(docs, key, text, shingle), "simhash")
     distinct = saved(rows.groupBy("fp").agg(F.min("key").alias("first")), "simhash-distinct")
     linked = components(fingerprint_links(distinct.select("fp"), max_bits), "simhash-components")
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("first").alias("component"))
-    named = named.join(least, "root").select("fp", "component")
-    return rows.join(named, "fp").select("key", "fp", "component")
+    named = named.join(least, "root").select("fp", "component", "root")
+    return rows.join(named, "fp").select("key", "h", "fp", "component", "root")
+
+
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                            max_bits: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with the smallest key (null last), then text hash.
+
+    Rows equal in key and text are one document, of which one row stays.
+    """
+    last = (1 << 63) - 1
+    place = F.struct(F.coalesce(F.col("key").cast("long"), F.lit(last)).alias("__k"), F.col("h").alias("__h"))
+    stay = near_duplicates(docs, key, text, shingle, max_bits).groupBy("root").agg(F.min(place).alias("p"))
+    rows = docs.withColumns({"__k": F.coalesce(F.col(key).cast("long"), F.lit(last)), "__h": F.xxhash64(text)})
+    return rows.join(stay.select("p.*"), ["__k", "__h"]).dropDuplicates(["__k", "__h"]).select(*docs.columns)
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
