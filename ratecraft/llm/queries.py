@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ratecraft.llm import bpe, chunks, lines, merkle, mixing, quality, sharding, simhash, toxicity
+from ratecraft.llm import bpe, chunks, language, lines, merkle, mixing, quality, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_fuzzy_line_dedup": lines.op2_fuzzy_line_dedup,
     "op3_merkle_fingerprints": merkle.op3_merkle_fingerprints,
+    "op4_language_id": language.op4_language_id,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_line_quality": quality.op6_line_quality,
     "op7_byte_bpe": bpe.op7_byte_bpe,
