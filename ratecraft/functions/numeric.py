@@ -85,7 +85,7 @@ def _fit_frame(df: DataFrame, fit_on: str, split_col: str) -> tuple[DataFrame, s
     return df, None
 
 
-def impute_mean(df: DataFrame, col: str, fit_on: str = "each", split_col: str = "split",
+def impute_mean(df: DataFrame, col: str, fit_on: str = "train", split_col: str = "split",
                 stats_from: DataFrame | None = None) -> DataFrame:
     """Null → mean of the column (per split by default, as the reference does).
     ``stats_from`` is a cheaper frame with the same rows to compute the means on."""
@@ -107,7 +107,7 @@ def remove_outliers(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.when((c > F.lit(hi)) | (c < F.lit(lo)), F.lit(None)).otherwise(c))
 
 
-def zscore(df: DataFrame, cols: list[str], fit_on: str = "each", split_col: str = "split") -> DataFrame:
+def zscore(df: DataFrame, cols: list[str], fit_on: str = "train", split_col: str = "split") -> DataFrame:
     """(x − mean) / population sd; constant column → 0; nulls stay null."""
     src, by = _fit_frame(df, fit_on, split_col) if split_col in df.columns else (df, None)
     aggs = []
@@ -125,7 +125,7 @@ def zscore(df: DataFrame, cols: list[str], fit_on: str = "each", split_col: str
     return out
 
 
-def minmax(df: DataFrame, cols: list[str], fit_on: str = "each", split_col: str = "split") -> DataFrame:
+def minmax(df: DataFrame, cols: list[str], fit_on: str = "train", split_col: str = "split") -> DataFrame:
     """(x − min) / (max − min) into [0, 1]; constant column → 0."""
     src, by = _fit_frame(df, fit_on, split_col) if split_col in df.columns else (df, None)
     aggs = []

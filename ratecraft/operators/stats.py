@@ -3,102 +3,60 @@
 ``exact_quantiles`` is exact (linear interpolation between order statistics,
 like numpy's default) and distributed: values are first reduced to
 ``(value, count)`` with a partial aggregation, range-partitioned, and each
-range partition computes running counts locally; only per-partition totals
-(one number per partition) and the few rows that hold the wanted ranks reach
-the driver.  No task ever holds more than one range partition.
+range partition computes running counts locally; per-partition totals join
+back as a table and each group's wanted ranks are picked by an aggregation.
+Nothing but the final numbers of one column reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.session import cut_lineage
 
-_SEP = "\u0001"
-
-
-def _ranks(n: int, p: float) -> tuple[int, int, float]:
-    h = (n - 1) * p
-    k0 = int(math.floor(h))
-    return k0, min(k0 + 1, n - 1), h - k0
-
-
-def exact_quantiles_by(df: DataFrame, col: str, probs: list[float],
-                       by: str | None = None) -> dict:
-    """{group: [q(p) for p in probs]} (group ``None`` when ``by`` is None)."""
-    spark = df.sparkSession
+def quantile_table(df: DataFrame, col: str, probs: list[float], by: str | None = None) -> DataFrame:
+    """(g, q0, q1, …): exact quantiles of each group (``g`` is '' without ``by``)."""
     g = F.col(by).cast("string") if by else F.lit("")
     vals = df.select(g.alias("g"), F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
     vc = vals.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(vc.repartitionByRange(n_part, "g", "v")
-                         .withColumn("pid", F.spark_partition_id()))
-    totals = ranged.groupBy("g", "pid").agg(F.sum("c").alias("t")).collect()
-    per_group: dict[str, list[tuple[int, int]]] = {}
-    for r in totals:
-        per_group.setdefault(r["g"], []).append((r["pid"], int(r["t"])))
-    offsets, sizes = {}, {}
-    for key, lst in per_group.items():
-        lst.sort()
-        pre = [0] + list(accumulate(t for _, t in lst))[:-1]
-        for (pid, _), off in zip(lst, pre):
-            offsets[f"{key}{_SEP}{pid}"] = off
-        sizes[key] = sum(t for _, t in lst)
-    if not sizes:
-        return {} if by else {None: [None] * len(probs)}
-    off_map = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v))])
-    w = Window.partitionBy("g", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    key = F.concat(F.col("g"), F.lit(_SEP), F.col("pid").cast("string"))
-    cum = (ranged.withColumn("end", F.sum("c").over(w) + F.element_at(off_map, key))
-           .withColumn("start", F.col("end") - F.col("c")))
-    wanted: list[Column] = []
-    plan = {}
-    for key_g, n in sizes.items():
-        plan[key_g] = [_ranks(n, p) for p in probs]
-        ks = sorted({k for k0, k1, _ in plan[key_g] for k in (k0, k1)})
-        for k in ks:
-            wanted.append((F.col("g") == F.lit(key_g)) & (F.col("start") <= k) & (F.col("end") > k))
-    cond = wanted[0]
-    for c in wanted[1:]:
-        cond = cond | c
-    hits = cum.where(cond).select("g", "v", "start", "end").collect()
-
-    def value_at(key_g, k):
-        for r in hits:
-            if r["g"] == key_g and r["start"] <= k < r["end"]:
-                return r["v"]
-        raise RuntimeError("rank not found")
-
-    out = {}
-    for key_g, lst in plan.items():
-        qs = []
-        for k0, k1, frac in lst:
-            v0, v1 = value_at(key_g, k0), value_at(key_g, k1)
-            qs.append(v0 + frac * (v1 - v0))
-        out[key_g if by else None] = qs
-    return out
+    n_part = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(vc.repartitionByRange(n_part, "g", "v").withColumn("pid", F.spark_partition_id()))
+    by_pid = Window.partitionBy("g").orderBy("pid")
+    parts = ranged.groupBy("g", "pid").agg(F.sum("c").alias("t")).select(
+        F.col("g").alias("pg"), F.col("pid").alias("pp"), F.coalesce(F.sum("t").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+        F.sum("t").over(Window.partitionBy("g")).alias("n"))
+    inside = Window.partitionBy("g", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = ranged.withColumn("run", F.sum("c").over(inside)).join(
+        parts, F.col("g").eqNullSafe(F.col("pg")) & (F.col("pid") == F.col("pp"))).select(
+        "g", "v", "n", (F.col("run") + F.col("before")).alias("end"), "c")
+    start = F.col("end") - F.col("c")
+    aggs = []
+    for k, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        low = F.floor(h)
+        high = F.least(low + 1, F.col("n") - 1)
+        aggs += [F.max(F.when((start <= low) & (F.col("end") > low), F.col("v"))).alias(f"lo{k}"),
+                 F.max(F.when((start <= high) & (F.col("end") > high), F.col("v"))).alias(f"hi{k}"),
+                 F.max(h - low).alias(f"f{k}")]
+    found = cum.groupBy("g").agg(*aggs)
+    return found.select("g", *[(F.col(f"lo{k}") + F.col(f"f{k}") * (F.col(f"hi{k}") - F.col(f"lo{k}"))).alias(f"q{k}")
+                               for k in range(len(probs))])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> list[float | None]:
-    return exact_quantiles_by(df, col, probs, None)[None]
+    row = quantile_table(df, col, probs).first()
+    return [row[f"q{k}"] if row else None for k in range(len(probs))]
 
 
 def describe(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     """Count, mean, sample sd, min, quartiles, max (exact quartiles)."""
-    spark = df.sparkSession
-    qs = exact_quantiles_by(df, col, [0.25, 0.5, 0.75], by)
-    grp = [by] if by else []
-    base = df.groupBy(*grp).agg(
+    base = df.groupBy(*([by] if by else [])).agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(F.col(col).cast("double")).alias("min"), F.max(F.col(col).cast("double")).alias("max"))
-    rows = [(str(k) if by else "", *v) for k, v in qs.items()]
-    qdf = spark.createDataFrame(rows, "g string, q25 double, q50 double, q75 double")
+    qdf = quantile_table(df, col, [0.25, 0.5, 0.75], by).toDF("__g", "q25", "q50", "q75")
     key = F.col(by).cast("string") if by else F.lit("")
-    return base.join(qdf, key == qdf.g, "left").drop("g")
+    return base.join(qdf, key.eqNullSafe(F.col("__g")), "left").drop("__g")
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

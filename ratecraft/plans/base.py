@@ -35,26 +35,17 @@ def triples(df: DataFrame, roles: Roles) -> DataFrame:
             .where(F.col("u").isNotNull() & F.col("i").isNotNull() & F.col("r").isNotNull()))
 
 
-# Largest table (in rows) that a model broadcasts to every executor; its row count
-# is known exactly from the fit.  Beyond it the same joins run as shuffle joins.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def maybe_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its exact row count is under the bound."""
-    return F.broadcast(df) if 0 <= n_rows <= max_rows else df
-
-
 def clip(c: Column, scale=RATING_SCALE) -> Column:
     lo, hi = scale
     return F.least(F.greatest(c, F.lit(float(lo))), F.lit(float(hi)))
 
 
 def finish(pred: DataFrame, mu: float, scale=RATING_SCALE, est: str = "est") -> DataFrame:
-    """Global-mean fallback for impossible estimates, then clip to the scale."""
-    impossible = F.col(est).isNull()
+    """Global-mean fallback for impossible estimates (null or NaN), then clip to the scale."""
+    impossible = F.col(est).isNull() | F.isnan(est)
     return (pred.withColumn("was_impossible", impossible)
-            .withColumn(est, clip(F.coalesce(F.col(est), F.lit(float(mu))), scale)))
+            .withColumn(est, clip(
+                F.when(impossible, F.lit(float(mu))).otherwise(F.col(est)), scale)))
 
 
 def global_stats(r: DataFrame) -> tuple[float, float, int]:
@@ -71,9 +62,3 @@ class Model:
 
     def predict(self, targets: DataFrame) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
-
-    def predict_ids(self, targets: DataFrame, keep=("RowID",)) -> DataFrame:
-        """Predictions keyed by ``RowID`` and the two role columns only."""
-        cols = [c for c in keep if c in targets.columns]
-        t = targets.select(*cols, self.roles.user, self.roles.item)
-        return self.predict(t)

@@ -18,7 +18,7 @@ PAIRS_CTE = """pairs AS (
 
 RATINGS_CTE = PAIRS_CTE + """,
 ratings AS (
-  SELECT ReviewerID * 1000000 + BeerID AS RowID, BeerID, ReviewerID, rating,
+  SELECT ReviewerID || '-' || BeerID AS RowID, BeerID, ReviewerID, rating,
          CASE WHEN (ReviewerID + BeerID) % 10 = 0 THEN 'test'
               WHEN (ReviewerID + BeerID) % 10 IN (1, 2) THEN 'val'
               ELSE 'train' END AS split
@@ -33,7 +33,7 @@ NAMED_RATINGS_CTE = RATINGS_CTE + ",\n" + NAMED_PART
 
 FEATURES_CTE = RATINGS_CTE + """,
 feat AS (
-  SELECT ReviewerID * 1000000 + BeerID AS RowID, ReviewerID, BeerID,
+  SELECT ReviewerID || '-' || BeerID AS RowID, ReviewerID, BeerID,
     CAST(regexp_extract(p.p_brand, '(\\d+)$', 1) AS BIGINT) AS BrewerID,
     CASE WHEN min_discount * 100 = 0 THEN NULL ELSE round(min_discount * 100, 2) END AS ABV,
     CASE WHEN ReviewerID % 3 = 0 THEN upper(strftime(first_ship, '%a')) ELSE strftime(first_ship, '%a') END AS DayofWeek,
@@ -115,6 +115,31 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def cv_baseline_ctes(k: int, n_epochs: int, reg_u: float, reg_i: float, prefix: str = "") -> list[str]:
+    """Cross-validated ALS baseline over ``ratings`` (train split): all folds at once.
+
+    The last table is ``{p}cv`` with (fold, mae, n).
+    """
+    p = prefix
+    ctes = [f"{p}fd AS (SELECT BeerID AS u, ReviewerID AS i, rating AS r, "
+            f"('0x' || substr(md5(RowID || ':42'), 1, 8))::bigint % {k} AS fold FROM ratings WHERE split = 'train')",
+            f"{p}tr AS (SELECT k.f, u, i, r FROM {p}fd, range({k}) k(f) WHERE fold <> k.f)",
+            f"{p}mu AS (SELECT f, avg(r) AS mu FROM {p}tr GROUP BY f)"]
+    prev = None
+    for e in range(1, n_epochs + 1):
+        old = f"- coalesce(b.bu, 0) " if prev else ""  # noqa: F541
+        join = f"LEFT JOIN {prev} b ON t.u = b.u AND t.f = b.f" if prev else ""
+        ctes.append(f"{p}bi{e} AS (SELECT t.f, t.i, sum(t.r - m.mu {old}) / ({reg_i} + count(*)) AS bi "
+                    f"FROM {p}tr t {join} JOIN {p}mu m ON m.f = t.f GROUP BY t.f, t.i)")
+        ctes.append(f"{p}bu{e} AS (SELECT t.f, t.u, sum(t.r - m.mu - b.bi) / ({reg_u} + count(*)) AS bu "
+                    f"FROM {p}tr t JOIN {p}bi{e} b ON t.i = b.i AND t.f = b.f JOIN {p}mu m ON m.f = t.f GROUP BY t.f, t.u)")
+        prev = f"{p}bu{e}"
+    ctes.append(f"{p}cv AS (SELECT t.fold, avg(abs(t.r - least(greatest(m.mu + coalesce(u.bu, 0) + coalesce(i.bi, 0), 0.0), 5.0))) AS mae, "
+                f"count(*) AS n FROM {p}fd t JOIN {p}mu m ON m.f = t.fold LEFT JOIN {prev} u ON u.u = t.u AND u.f = t.fold "
+                f"LEFT JOIN {p}bi{n_epochs} i ON i.i = t.i AND i.f = t.fold GROUP BY t.fold)")
+    return ctes
+
+
 def baseline_ctes(n_epochs: int = 10, reg_u: float = 15.0, reg_i: float = 10.0,
                   user: str = "BeerID", item: str = "ReviewerID",
                   prefix: str = "") -> tuple[list[str], str, str]:

@@ -8,7 +8,6 @@ without one gets a private folder, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -18,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -91,15 +91,6 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return out
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
 class EpochState:
     """State tables of an iterative fit.
 

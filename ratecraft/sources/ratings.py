@@ -4,7 +4,7 @@ A (reviewer, beer) rating is one (customer, part) pair of line items:
 
 * ``ReviewerID`` = ``o_custkey``, ``BeerID`` = ``l_partkey``
 * ``rating``     = ``avg(l_quantity) / 10`` over the pair's line items (0.1 – 5.0)
-* ``RowID``      = ``ReviewerID * 1000000 + BeerID`` (unique per pair)
+* ``RowID``      = ``ReviewerID-BeerID`` as text (unique per pair for any ids)
 * ``split``      = ``(ReviewerID + BeerID) % 10``: 0 → test, 1–2 → val, else train
 
 Per-row features come from the same pair (first ship date, smallest
@@ -51,7 +51,8 @@ def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_keys(df: DataFrame) -> DataFrame:
-    return (df.withColumn("RowID", F.col("ReviewerID") * F.lit(1000000) + F.col("BeerID"))
+    return (df.withColumn("RowID", F.concat(
+        F.col("ReviewerID").cast("string"), F.lit("-"), F.col("BeerID").cast("string")))
             .withColumn("split", split_expr(F.col("ReviewerID"), F.col("BeerID"))))
 
 

@@ -4,8 +4,9 @@ The reference has no streaming operator.  The one streaming use of its work
 is to score rating events as they arrive: a file stream of line items is
 joined to the static orders table (stream-static join), then to a static
 table of predictions keyed by (user, item) — the same fan-out as J3.  Output
-goes through ``foreachBatch`` to Parquet, with the stream's checkpoint in the
-shared checkpoint folder so a restarted query resumes where it stopped.
+goes through ``foreachBatch`` to Parquet, one folder per batch id (a replayed
+batch replaces itself), with the stream's checkpoint in the shared checkpoint
+folder so a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.session import scratch_path
+from ratecraft.sources.files import read_if_there
 from ratecraft.sources.tables import read_table
 
 LINEITEM_STREAM_SCHEMA = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
@@ -47,13 +49,12 @@ def run_scoring(spark: SparkSession, sf_dir: str, preds: DataFrame, out_path: st
     scored = score_stream(line_item_stream(spark, sf_dir), orders, preds)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").parquet(out_path)
+        # one folder a batch, overwritten when a batch is replayed
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch_id}")
 
     q = (scored.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     schema = "l_orderkey long, l_linenumber int, BeerID long, ReviewerID long, est double"
-    try:
-        return spark.read.schema(schema).parquet(out_path)
-    except Exception:  # noqa: BLE001 - no batch produced any row
-        return spark.createDataFrame([], schema)
+    out = read_if_there(spark, out_path, f"{schema}, batch long")
+    return spark.createDataFrame([], schema) if out is None else out.drop("batch")

@@ -47,7 +47,7 @@ def test_x5_impute_mean(spark):
 def test_x5_impute_mean_per_split(spark):
     df = spark.createDataFrame([(0, 4.0, "train"), (1, None, "train"), (2, 6.0, "train"),
                                 (3, 1.0, "val"), (4, None, "val")], "id int, ABV double, split string")
-    assert _vals(num.impute_mean(df, "ABV"), "ABV") == [4.0, 5.0, 6.0, 1.0, 1.0]
+    assert _vals(num.impute_mean(df, "ABV", fit_on="each"), "ABV") == [4.0, 5.0, 6.0, 1.0, 1.0]
     assert _vals(num.impute_mean(df, "ABV", fit_on="train"), "ABV") == [4.0, 5.0, 6.0, 1.0, 5.0]
 
 

@@ -116,17 +116,93 @@ def test_baseline_beats_global_mean_on_train(spark):
     assert base_mae <= mean_mae
 
 
-def test_pair_stats_paths_agree(spark):
-    """The in-row map path and the expansion path give the same sums."""
+def test_pair_stats_match_a_plain_join(spark):
     from ratecraft.plans.base import DEFAULT_ROLES, triples
     from ratecraft.sources.ratings import rating_triples
     r = triples(rating_triples(spark, "/root/testdata/sf0.001").where(F.col("split") == "train"), DEFAULT_ROLES)
     pairs = (r.select(F.col("u").alias("x")).distinct()
              .join(r.select(F.col("u").alias("y")).distinct(), F.col("x") < F.col("y"))
-             .limit(3000))
-    a = {(q["x"], q["y"]): q for q in pair_stats(r, pairs, "u", "i", light_degree=2000).collect()}
-    b = {(q["x"], q["y"]): q for q in pair_stats(r, pairs, "u", "i", light_degree=0).collect()}
-    assert a.keys() == b.keys() and len(a) > 0
-    for k in a:
-        for f in ("n", "s_d", "s_d2", "s_xy", "s_xx", "s_yy"):
-            assert a[k][f] == pytest.approx(b[k][f], abs=1e-9)
+             .limit(3000)).cache()
+    got = {(q["x"], q["y"]): q for q in pair_stats(r, pairs, "u", "i").collect()}
+    rated = {}
+    for q in r.collect():
+        rated.setdefault(q["u"], {})[q["i"]] = q["r"]
+    want = {}
+    for q in pairs.collect():
+        a, b = rated[q["x"]], rated[q["y"]]
+        both = sorted(a.keys() & b.keys())
+        if both:
+            want[q["x"], q["y"]] = [(a[i], b[i]) for i in both]
+    assert got.keys() == want.keys() and len(got) > 0
+    for k, v in want.items():
+        assert got[k]["n"] == len(v)
+        assert got[k]["s_d2"] == pytest.approx(sum((a - b) ** 2 for a, b in v), abs=1e-9)
+        assert got[k]["s_xy"] == pytest.approx(sum(a * b for a, b in v), abs=1e-9)
+
+
+def test_hot_item_keeps_results_and_no_group_is_collected(spark):
+    """One item holds a third of the ratings: kNN equals the plain computation, no collected sets in the plan."""
+    from ratecraft.plans.base import Roles
+    rows = [(u, 0, float(u % 5)) for u in range(60)] + [
+        (u, 1 + (u * 7 + k) % 40, float((u + k) % 5)) for u in range(60) for k in range(2)]
+    df = spark.createDataFrame([(f"{u}-{i}", u, i, r) for u, i, r in {(u, i): (u, i, r) for u, i, r in rows}.values()],
+                               "RowID string, user long, item long, rating double").cache()
+    model = fit_knn(df, "basic", Roles("user", "item", "rating"), k=5)
+    targets = df.select("RowID", "user", "item")
+    out = model.predict(targets)
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert "collect_" not in plan and "Cartesian" not in plan
+    rated = {}
+    for q in df.collect():
+        rated.setdefault(q["user"], {})[q["item"]] = q["rating"]
+    def sim(a, b):
+        both = rated[a].keys() & rated[b].keys()
+        return round(1 / (sum((rated[a][i] - rated[b][i]) ** 2 for i in both) / len(both) + 1), 12) if both else 0.0
+    got = {q["RowID"]: q["est"] for q in out.collect()}
+    assert len(got) == df.count()
+    for rid, est in list(got.items())[::7]:
+        u, i = map(int, rid.split("-"))
+        near = sorted(((sim(u, v), -v) for v in rated if i in rated[v]), reverse=True)[:5]
+        near = [(s, -v) for s, v in near if s > 0]
+        want = sum(s * rated[v][i] for s, v in near) / sum(s for s, _ in near)
+        assert est == pytest.approx(min(5.0, max(0.0, want)), abs=1e-9)
+
+
+def test_normal_draws_do_not_follow_the_partitioning(spark):
+    from ratecraft.plans.factorization import fit_normal
+    from ratecraft.sources.ratings import rating_triples
+    t = rating_triples(spark, "/root/testdata/sf0.001")
+    m = fit_normal(t)
+    a = {r["RowID"]: r["est"] for r in m.predict(t.repartition(2)).collect()}
+    b = {r["RowID"]: r["est"] for r in m.predict(t.repartition(7, "BeerID")).collect()}
+    assert a == b and len(set(a.values())) > len(a) // 2
+
+
+def test_row_ids_stay_apart_above_a_million_parts(spark):
+    from ratecraft.sources.ratings import with_keys
+    pairs = [(1, 1000001), (2, 1), (1, 1), (21, 5), (2, 15)]
+    df = with_keys(spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "ReviewerID long, BeerID long, rating double"))
+    assert df.select("RowID").distinct().count() == len(pairs)
+    assert df.join(df.select("RowID", F.col("rating").alias("x")), "RowID").count() == len(pairs)
+
+
+def test_nan_estimates_count_as_impossible(spark):
+    from ratecraft.plans.base import finish
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 9.0)], "id int, est double")
+    out = {r["id"]: (r["est"], r["was_impossible"]) for r in finish(df, 2.5).collect()}
+    assert out == {1: (2.5, True), 2: (2.5, True), 3: (5.0, False)}
+
+
+def test_svdpp_stays_finite_with_a_hot_user(spark):
+    from ratecraft.plans.base import Roles
+    from ratecraft.plans.evaluate import mae_value
+    from ratecraft.plans.factorization import fit_svdpp
+    rows = [(f"0-{i}", 0, i, 2.0 + (i % 3)) for i in range(1500)] + [
+        (f"{u}-{i}", u, i, 1.0 + (u + i) % 4) for u in range(1, 40) for i in range(u, 1500, 97)]
+    df = spark.createDataFrame(rows, "RowID string, user long, item long, rating double").cache()
+    m = fit_svdpp(df, Roles("user", "item", "rating"), n_factors=4, n_epochs=20, reg=0.2)
+    p = m.predict(df)
+    assert p.where("was_impossible or est is null or isnan(est)").count() == 0
+    assert m.users.where("u = 0 and abs(bu) < 5").count() == 1
+    mean = df.agg(F.avg("rating")).first()[0]
+    assert mae_value(p) <= df.agg(F.avg(F.abs(F.col("rating") - mean))).first()[0]

@@ -34,7 +34,7 @@ def test_grouped_exact_quantiles(spark):
     rng = np.random.default_rng(5)
     data = [("a", float(v)) for v in rng.integers(0, 50, 301)] + [("b", float(v)) for v in rng.normal(size=40)]
     df = spark.createDataFrame(data, "g string, v double")
-    got = st.exact_quantiles_by(df, "v", [0.25, 0.5, 0.9], by="g")
+    got = {r["g"]: [r["q0"], r["q1"], r["q2"]] for r in st.quantile_table(df, "v", [0.25, 0.5, 0.9], "g").collect()}
     for g in ("a", "b"):
         want = np.quantile([v for k, v in data if k == g], [0.25, 0.5, 0.9])
         assert got[g] == pytest.approx(list(want), abs=1e-12)
