@@ -4,16 +4,18 @@ A 16-bit gear hash rolls over the characters (each step shifts one bit and adds
 a number drawn from the new character, so it sees the last 16); a chunk ends
 where its top bits are zero, within ``MIN_CHARS`` and ``MAX_CHARS``.  An
 insertion thus moves only the cuts near it, and a passage is cut alike in every
-document but for its two ends.  The holders of each digest are found by a
-grouped aggregation; runs of consecutive chunks that other documents hold too,
-with at least ``MIN_WORDS`` words, are repeated passages: the document with the
-smallest key keeps them, in the others they are removed.
-
-A passage of more than 50 words loses at most its first 16 characters and a
-part of a chunk at each end, hence the lower bound of 30 words for a run.
-
-Only digests travel: they are counted with partial sums, then joined back by
-equi-joins that may be split when skewed; a passage shared by very many
+document but for its ends.  The holders of each chunk digest are found by a
+grouped aggregation.
+
+Runs of consecutive chunks that other documents hold too are candidates.  A run
+with at least ``MIN_WORDS`` words is a repeated passage.  A shorter one, down to
+``RUN_WORDS``, may be the inside of a passage whose ends fell into cut chunks:
+the exact check hashes every stretch of ``MIN_WORDS`` words around it and takes
+those that another document has among its own.  The document with the smallest
+key keeps a passage, in the others it is removed.
+
+Digests travel, not texts: they are aggregated with partial sums, then joined
+back by equi-joins that may be split when skewed; a passage shared by very many
 documents never meets in one task.
 
 Edge cases: null and empty texts have no chunks and stay as they are; rows with
@@ -24,7 +26,8 @@ pass through ``without_repeats``; an empty table stays empty.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,9 @@ from ratecraft.llm.common import WORD, table
 MIN_CHARS, MAX_CHARS = 12, 72
 #: A cut where the top bits of the gear hash are zero: one in 32 characters.
 CUT_BITS = 5
-MIN_WORDS = 30
+#: Words of the shortest passage to find, and of the shortest run that is looked at.
+MIN_WORDS, RUN_WORDS = 51, 8
+_WORD = re.compile(WORD)
 #: Stands for a null key, after all others.
 NO_KEY = (1 << 63) - 1
 
@@ -100,36 +105,89 @@ def chunk_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "id bigint, h bigint, digest bigint, start int, stop int")
 
 
-def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per (id, h): runs ``array<struct<start, stop, drop, first>>`` of chunks that other documents hold.
-
-    ``drop`` tells whether every chunk of the run has an earlier holder;
-    ``first`` is the smallest key among the holders of the run's first chunk.
-    """
+def shared_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per (id, h): the chunks that other documents hold, as sorted ``array<struct<start, stop, first>>``."""
     chunks = chunk_rows(docs, key, text)
     seen = chunks.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     rows = chunks.join(seen.where("first <> last").drop("last"), "digest")
-    doc = Window.partitionBy("id", "h")
+    return rows.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "first"))).alias("chunks"))
+
+
+def candidates(id_: int, text: str, chunks: list[tuple[int, int, int]], min_words: int):
+    """Spans (start, stop, first) of long runs, and stretches (digest, start, stop) around the short ones."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    begins, ends = [a for a, _ in words], [b for _, b in words]
+    spans, stretches, lo = [], {}, 0
+    while lo < len(chunks):
+        hi = lo + 1
+        while hi < len(chunks) and chunks[hi][0] == chunks[hi - 1][1]:
+            hi += 1
+        a, b = bisect_left(begins, chunks[lo][0]), bisect_right(ends, chunks[hi - 1][1])  # words inside
+        if b - a >= min_words:
+            for start, stop, first in chunks[lo:hi]:
+                if spans and spans[-1][1] == start and (spans[-1][2] == id_) == (first == id_):
+                    spans[-1] = (spans[-1][0], stop, min(first, spans[-1][2]))
+                else:
+                    spans.append((start, stop, first))
+        elif b - a >= RUN_WORDS:
+            for w in range(max(0, b - min_words), min(a, len(words) - min_words) + 1):
+                if w not in stretches:
+                    body = " ".join(text[x:y] for x, y in words[w:w + min_words])
+                    stretches[w] = (xxhash.xxh64_intdigest(body), begins[w], ends[w + min_words - 1])
+        lo = hi
+    return spans, list(stretches.values())
+
+
+_SPANS = "array<struct<start:int,stop:int,first:bigint>>"
+
+
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """Per (id, h): disjoint, sorted spans ``(start, stop, drop, first)`` of passages other documents hold."""
+    def run(batches):
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("first", pa.int64())]))
+        tried = pa.list_(pa.struct([("digest", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))
+        for batch in batches:
+            spans, stretches = [], []
+            for id_, body, found in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3)]):
+                sure, maybe = candidates(id_, body, [(c["start"], c["stop"], c["first"]) for c in found], min_words)
+                spans.append([{"start": a, "stop": b, "first": f} for a, b, f in sure])
+                stretches.append([{"digest": d - (1 << 64) if d >> 63 else d, "start": a, "stop": b} for d, a, b in maybe])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind), pa.array(stretches, tried)],
+                                             names=["id", "h", "spans", "stretches"])
+
+    held_by = shared_chunks(docs, key, text).withColumnsRenamed({"id": "__id", "h": "__h2"})
+    found = with_identity(docs, key, text).join(held_by, _same()).select("__key", "__h", text, "chunks", key).mapInArrow(
+        run, "id bigint, h bigint, spans array<struct<start:int,stop:int,first:bigint>>, "
+             "stretches array<struct<digest:bigint,start:int,stop:int>>")
+    tried = found.select("id", "h", F.explode("stretches").alias("s")).select("id", "h", "s.*")
+    held = tried.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    more = tried.join(held.drop("last"), "digest").select("id", "h", "start", "stop", "first")
+    rows = found.select("id", "h", F.explode("spans").alias("s")).select("id", "h", "s.*").unionByName(more)
     rows = rows.withColumn("drop", F.col("id") != F.col("first"))
-    fresh = F.coalesce((F.lag("stop").over(doc.orderBy("start")) != F.col("start"))
-                       | (F.lag("drop").over(doc.orderBy("start")) != F.col("drop")), F.lit(True))
-    rows = rows.withColumn("fresh", fresh.cast("int"))
-    rows = rows.withColumn("run", F.sum("fresh").over(doc.orderBy("start").rowsBetween(Window.unboundedPreceding, 0)))
-    runs = rows.groupBy("id", "h", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.first("drop").alias("drop"),
-        F.min("first").alias("first"))
-    return runs.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "drop", "first"))).alias("runs"))
+    # spans of one decision that touch are joined into one
+    of = Window.partitionBy("id", "h", "drop").orderBy("start", "stop")
+    fresh = F.coalesce(F.col("start") > F.max("stop").over(of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    rows = rows.withColumn("fresh", fresh.cast("int")).withColumn(
+        "island", F.sum("fresh").over(of.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.groupBy("id", "h", "drop", "island").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("first").alias("first"))
+    return rows.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "drop", "first"))).alias("spans"))
+
+
+def with_identity(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.withColumns({"__h": F.xxhash64(text), "__key": _id(key)})
+
+
+def _same() -> Column:
+    return (F.col("__key") == F.col("__id")) & (F.col("__h") == F.col("__h2"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``__spans`` (repeated passages) and ``__kept`` (the text without the dropped ones)."""
-    runs = repeated_runs(docs, key, text)
-    rows = docs.withColumn("__h", F.xxhash64(text))
-    joined = rows.join(runs.select(F.col("id").alias("__id"), F.col("h").alias("__h2"), "runs"),
-                       (_id(key) == F.col("__id")) & (F.col("__h") == F.col("__h2")), "left")
-    words = lambda s: F.regexp_count(F.col(text).substr(s["start"] + 1, s["stop"] - s["start"]), F.lit(WORD))
-    long_enough = F.coalesce(F.filter("runs", lambda s: words(s) >= min_words), F.array().cast("array<struct<start:int,stop:int,drop:boolean,first:bigint>>"))
-    joined = joined.withColumn("__spans", long_enough)
+    """``docs`` with ``__spans`` (start, stop, drop, first of its repeated passages) and ``__kept`` (the text without the dropped ones)."""
+    spans = repeated_spans(docs, key, text, min_words).withColumnsRenamed({"id": "__id", "h": "__h2", "spans": "__spans"})
+    joined = with_identity(docs, key, text).join(spans, _same(), "left")
+    joined = joined.withColumn("__spans", F.coalesce("__spans", F.array().cast(
+        "array<struct<start:int,stop:int,drop:boolean,first:bigint>>")))
     dropped = F.filter("__spans", lambda s: s["drop"])
     stops = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda s: s["stop"]))
     starts = F.concat(F.transform(dropped, lambda s: s["start"]), F.array(F.length(text)))
