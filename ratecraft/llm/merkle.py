@@ -12,8 +12,9 @@ one if the roots differ, so only equal roots give 1); ``differing`` locates an e
 
 Edge cases: a null text is the empty text (one section, one paragraph, no
 leaf); rows equal in key and text count as one document in the order and get
-equal results; null keys come last in the descending order; a single document
-is its own successor; an empty table gives an empty table.
+equal results; null keys come last in the descending order, as the smallest
+long (keys are longs); a single document is its own successor; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from ratecraft.llm.common import ordered_parts, table
 LEAF_WORDS = 4
 #: Hex digits of a leaf digest inside a fingerprint string.
 LEAF_DIGITS = 8
+#: Stands for a null key.
+NO_KEY = -(1 << 63)
 _SPACE = r"\x20\x09-\x0D"
 _LEAF = rf"[{_SPACE}]*(?:[^{_SPACE}]+[{_SPACE}]*){{1,{LEAF_WORDS}}}|[{_SPACE}]+"
 
@@ -67,14 +70,18 @@ def differing(a: Column, b: Column) -> Column:
     return F.array_distinct(F.transform(only, lambda x: F.substring_index(x, "=", 1)))
 
 
+def _id(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY))
+
+
 def successors(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Per distinct (key, text hash) ``id, h, n`` those of the next one, descending key, as ``next``.
 
     The order is cut into ranges; only the first row of each range, one per
     shuffle partition, is seen across ranges.
     """
-    order = [F.col("id").desc_nulls_last(), F.col("h")]
-    slim = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n")).distinct()
+    order = [F.col("id").desc(), F.col("h")]
+    slim = docs.select(_id(key).alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n")).distinct()
     parts = ordered_parts(slim, order, "merkle-order")
     here = F.struct("id", "h", "n")
     inside = Window.partitionBy("__part").orderBy(*order)
@@ -97,18 +104,17 @@ def with_edited(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     third = lambda n: F.floor(n / F.lit(3)).cast("int")
     slim = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias("text"))
     order = successors(slim, key, "text")
-    asked = order.select(F.col("next.id").alias("r_id"), F.col("next.h").alias("r_h"),
+    asked = order.select(F.col("next.id").alias("id"), F.col("next.h").alias("h"),
                          F.col("id").alias("to_id"), F.col("h").alias("to_h"), third(F.col("n")).alias("take"))
-    rows = slim.select(F.col(key).alias("id"), "text", F.xxhash64("text").alias("h"))
-    same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("h") == F.col("r_h"))
-    rows = rows.join(asked, same).drop("r_id", "r_h").withColumn("fp", fingerprint(F.col("text")))
+    rows = slim.select("text", _id(key).alias("id"), F.xxhash64("text").alias("h"))
+    rows = rows.join(asked, ["id", "h"]).withColumn("fp", fingerprint(F.col("text")))
     sent = rows.select("to_id", "to_h", F.struct(F.expr("substring(text, 1, take)").alias("head"), "fp").alias("s"))
-    sent = sent.groupBy("to_id", "to_h").agg(F.any_value("s").alias("s"))
-    own = rows.select("id", "h", "text", "fp")
-    both = own.join(sent, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h")))
+    sent = sent.groupBy(F.col("to_id").alias("id"), F.col("to_h").alias("h")).agg(F.any_value("s").alias("s"))
+    # both branches read the same columns, so Spark shuffles the texts once and reuses them
+    both = rows.select("id", "h", "text", "fp").join(sent, ["id", "h"])
     n = F.length("text")
     kept = F.substring(F.col("text"), F.lit(1), n - third(n))
-    return both.select("id", n.cast("long").alias("n_chars"), "fp", F.concat(kept, F.col("s.head")).alias("edited"),
+    return both.select(F.nullif("id", F.lit(NO_KEY)).alias("key"), n.cast("long").alias("n_chars"), "fp", F.concat(kept, F.col("s.head")).alias("edited"),
                        F.col("s.fp").alias("next_fp"))
 
 
@@ -116,7 +122,7 @@ def op3_merkle_fingerprints(spark, sf_dir: str) -> DataFrame:
     rows = with_edited(table(spark, sf_dir, "documents"))
     rows = rows.withColumn("edited_fp", fingerprint(F.col("edited")))
     return rows.select(
-        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        F.col("key").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
