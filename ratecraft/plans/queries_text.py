@@ -179,3 +179,29 @@ def email_parts(spark, sf):
     user, domain, tld = rx.match_groups(F.col("email"), rx.PATTERNS["email"], [1, 2, 6])
     return e.select("doc_id", "email", user.alias("user_part"), domain.alias("domain_part"),
                     tld.alias("tld"))
+
+
+_EMAIL_RX = _sql_str(rx.anchored(rx.PATTERNS["email"]))
+
+
+@query("regex_scorecards", sql=f"""
+WITH e AS (SELECT unnest(regexp_extract_all(text, {_sql_str(rx.EMAIL_FIND)})) AS email FROM documents),
+c AS (SELECT email AS string, true AS expected FROM e UNION ALL SELECT email || ' x', false FROM e
+      UNION ALL SELECT replace(email, '@', ' at '), false FROM e)
+SELECT 'match' AS kind, count(*) FILTER (regexp_matches(string, {_EMAIL_RX}) = expected) AS passed, count(*) AS total FROM c
+UNION ALL
+SELECT 'capture', count(*) FILTER (CASE WHEN expected AND regexp_matches(string, {_EMAIL_RX})
+    THEN regexp_extract(string, {_EMAIL_RX}, 1) = string_split(string, '@')[1] ELSE regexp_matches(string, {_EMAIL_RX}) = expected END),
+  count(*) FROM c""")
+def regex_scorecards(spark, sf):
+    """Addresses found in the documents must match, altered ones must not; group 1 is the user part."""
+    docs = read_table(spark, sf, "documents", "text")
+    e = docs.select(F.explode(rx.find_all(F.col("text"), rx.EMAIL_FIND)).alias("email"))
+    cases = e.select(F.explode(F.array(
+        F.struct(F.col("email").alias("string"), F.lit(True).alias("expected")),
+        F.struct(F.concat("email", F.lit(" x")).alias("string"), F.lit(False).alias("expected")),
+        F.struct(F.replace("email", F.lit("@"), F.lit(" at ")).alias("string"), F.lit(False).alias("expected")))).alias("c")).select("c.*")
+    cases = cases.withColumn("groups", F.when(F.col("expected"), F.array(F.substring_index("string", "@", 1))))
+    return (rx.scorecard(cases, rx.PATTERNS["email"]).select(F.lit("match").alias("kind"), "passed", "total")
+            .unionByName(rx.capture_scorecard(cases, rx.PATTERNS["email"], 1)
+                         .select(F.lit("capture").alias("kind"), "passed", "total")))

@@ -11,7 +11,7 @@ Per-row features come from the same pair (first ship date, smallest
 discount) and from ``customer`` / ``part``.  Line items are aggregated once
 per pair: at scale this is lineitem ⋈ orders (sort-merge on the order key)
 followed by a partial + final aggregation on the pair key.  Callers that use
-the table more than once should materialise it (``materialise``).
+the table more than once should snapshot it (``session.cut_lineage``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.sources.tables import read_table
-from ratecraft.session import scratch_path
 
 ID_COLS = ("RowID", "BeerID", "ReviewerID")
 RATING_SCALE = (0.0, 5.0)
@@ -137,14 +136,3 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     are upper-cased for every third reviewer to exercise case folding.
     """
     return features_from(pair_table(spark, sf_dir))
-
-
-def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write to the shared scratch folder as parquet and read it back (K6)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)

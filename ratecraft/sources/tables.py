@@ -22,9 +22,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views with the driver's table names, for ``spark.sql`` use."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
