@@ -27,8 +27,12 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-#: Pieces whose ids a task keeps at hand before it starts anew.
-MEMO_PIECES = 400_000
+#: Matches, and words, whose ids a worker keeps at hand before it starts anew.
+MEMO_PIECES, MEMO_WORDS = 200_000, 100_000
+#: Rows of a batch handled at once.
+ROWS = 512
+#: Tables of prefixes of so many bytes are shared between pieces.
+SHARED_PREFIX = (11, 7, 4)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,64 +41,125 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (x.split() for x in lines if x.strip())}
 
 
+class Memo(dict):
+    """Ids of pieces; one that is missing is encoded on the way."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[piece] = self.encode(piece)
+        return found
+
+
 class Vocabulary:
     """Ranks, tokens by id, and which tokens may follow each other."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.tails = {t[k:] for t in ranks for k in range(len(t))}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.singles: dict[int, bool] = {}
-        self.memo: dict[str, tuple[int, ...]] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The definition: join the adjacent parts of lowest rank, leftmost first."""
+        # every byte string inside some token, with its rank if it is a token itself
+        self.parts = {t[a:b]: -1 for t in ranks for a in range(len(t)) for b in range(a + 1, len(t) + 1)} | ranks
+        self.pairs: dict[int, bool] = {}
+        self.sides: dict[int, tuple | None] = {}
+        self.prefixes: dict[bytes, tuple[int, ...]] = {}
+        self.memo = Memo(self.piece, MEMO_PIECES)
+
+    def merged(self, data: bytes, stop: int = 1) -> list[bytes]:
+        """The definition: join the adjacent parts of lowest rank, leftmost first, down to ``stop`` parts."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], len(self.ranks) * 2), i)
-                          for i in range(len(parts) - 1))
-            if rank >= len(self.ranks) * 2:
+        none = len(self.ranks) * 2
+        while len(parts) > stop:
+            rank, i = min((self.ranks.get(parts[i] + parts[i + 1], none), i) for i in range(len(parts) - 1))
+            if rank >= none:
                 break
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
-
-    def starts(self, token: int) -> bool:
-        """Whether the token's bytes alone are encoded as this token."""
-        if token not in self.singles:
-            self.singles[token] = self.merged(self.tokens[token]) == [token]
-        return self.singles[token]
+        return parts
+
+    def spines(self, token: int) -> tuple | None:
+        """Parts that stood at the token's left and right end while it was merged, the token first.
+
+        Each as (bytes, time made, time merged away), times being ranks (merges
+        run in rising rank; a byte is there from the start).  None for a token
+        that its own bytes are not merged into.
+        """
+        if token not in self.sides:
+            data = self.tokens[token]
+            self.sides[token] = None
+            if self.merged(data) == [data]:
+                ends = []
+                for side in (0, -1):
+                    part, until, spine = data, len(self.ranks) * 2, []
+                    while True:
+                        made = self.ranks[part] if len(part) > 1 else -1
+                        spine.append((part, made, until))
+                        if len(part) == 1:
+                            break
+                        part, until = self.merged(part, 2)[side], made
+                    ends.append(spine)
+                self.sides[token] = tuple(ends)
+        return self.sides[token]
 
     def follows(self, first: int, second: int) -> bool:
-        """Whether no merge crosses the seam of the two tokens."""
-        found = self.pairs.get((first, second))
-        if found is None:
-            found = self.pairs[first, second] = (
-                self.merged(self.tokens[first] + self.tokens[second]) == [first, second])
-        return found
+        """Whether the merges of both tokens' bytes give these two: no merge crosses the seam.
+
+        The parts at the seam are walked from the last to the first; two that
+        stand there together would merge if their rank came before either is
+        merged away (left first among equals).
+        """
+        key = first << 32 | second
+        fits = self.pairs.get(key)
+        if fits is None:
+            a, b = self.spines(first), self.spines(second)
+            fits = a is not None and b is not None
+            if fits:
+                right, left, i, j = a[1], b[0], 0, 0
+                while i < len(right) and j < len(left):
+                    x, made_x, until_x = right[i]
+                    y, made_y, until_y = left[j]
+                    rank = self.ranks.get(x + y)
+                    if rank is not None and rank < until_x and rank <= until_y:
+                        fits = False
+                        break
+                    if made_x > made_y:
+                        i += 1
+                    else:
+                        j += 1
+            self.pairs[key] = fits
+        return fits
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """Completes ``last`` (last token of each prefix) for all prefixes of ``data``."""
-        ranks, tails, pairs = self.ranks, self.tails, self.pairs
-        for end in range(len(last) + 1, len(data) + 1):
-            start, found = end - 1, []
-            while start >= 0 and (part := data[start:end]) in tails:
-                if part in ranks:
-                    found.append((ranks[part], start))
-                start -= 1
-            for token, start in reversed(found):  # one fits; the longer ones are likelier
-                if start:
-                    before = last[start - 1]
-                    fits = pairs.get((before, token))
-                    if fits is None:
-                        fits = self.follows(before, token)
-                else:
-                    fits = self.starts(token)
-                if fits:
-                    last.append(token)
+        parts, pairs, prefixes, least = self.parts, self.pairs, self.prefixes, 0
+        if len(prefixes) > MEMO_WORDS:
+            prefixes.clear()
+        if not last:
+            for length in SHARED_PREFIX:
+                if length <= len(data) and (known := prefixes.get(data[:length])):
+                    last.extend(known)
                     break
+        for end in range(len(last) + 1, len(data) + 1):
+            while least < end and (token := parts.get(data[least:end])) is None:  # no token begins here or before
+                least += 1
+            start = least
+            while start < end:  # exactly one token fits; longer ones are likelier
+                if token >= 0:
+                    if start == 0:
+                        if self.spines(token) is not None:
+                            break
+                    else:
+                        fits = pairs.get(last[start - 1] << 32 | token)
+                        if self.follows(last[start - 1], token) if fits is None else fits:
+                            break
+                start += 1
+                token = parts.get(data[start:end], -1)
             else:
                 raise ValueError("the ranks don't cover these bytes")
+            last.append(token)
+            if end in SHARED_PREFIX:
+                prefixes[data[:end]] = tuple(last)
         return last
 
     def walk(self, last: list[int]) -> tuple[int, ...]:
@@ -107,23 +172,55 @@ class Vocabulary:
 
     def piece(self, text: str) -> tuple[int, ...]:
         """Ids of one match of the pattern (a match that is itself a token stays whole)."""
-        found = self.memo.get(text)
-        if found is None:
-            data = text.encode()
-            whole = self.ranks.get(data)
-            found = (whole,) if whole is not None else self.walk(self.extend(data, []))
-            if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
-            self.memo[text] = found
-        return found
+        data = text.encode()
+        whole = self.ranks.get(data)
+        return (whole,) if whole is not None else self.walk(self.extend(data, []))
 
     def encode(self, split: regex.Pattern, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.piece, split.findall(text))))
+        return list(chain.from_iterable(map(self.memo.__getitem__, split.findall(text))))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+class Encoder:
+    """Ids of texts under one pattern.
+
+    ``by_space``: for patterns whose matches are letter runs (with the space
+    before them), single punctuation marks after letters, and otherwise never
+    run over a space or line break that stands alone.  Then, in a text without
+    other white space, the words between spaces are encoded one by one; those
+    of letters, with a comma or full stop or not, need no search.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str, by_space: bool = False):
+        self.vocabulary, self.split, self.by_space = vocabulary, regex.compile(pattern), by_space
+        self.letters = Memo(lambda word: vocabulary.piece(" " + word), MEMO_PIECES)
+        self.other = Memo(lambda word: tuple(vocabulary.encode(self.split, word)), MEMO_WORDS)
+        self.marks = {m: vocabulary.piece(m) for m in ",."}
+
+    def encode(self, text: str) -> list[int]:
+        # str.split knows every white space character: equal lists mean single spaces and line breaks only
+        if not self.by_space or text.split() != text.replace("\n", " ").split(" "):
+            return self.vocabulary.encode(self.split, text)
+        out: list[int] = []
+        letters, other, marks, line_break = self.letters, self.other, self.marks, self.vocabulary.piece("\n")
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out += line_break
+            words = line.split(" ")
+            out += other[words[0]]
+            for word in words[1:]:
+                if word.isalpha():
+                    out += letters[word]
+                elif word[-1] in marks and word[:-1].isalpha():
+                    out += letters[word[:-1]]
+                    out += marks[word[-1]]
+                else:
+                    out += other[" " + word]
+        return out
+
+
 class EncodedText:
     """A text with the prefix tables of its matches; appends and edits are exact.
 
@@ -182,26 +279,33 @@ class EncodedText:
         return self.vocabulary.decode(self.vocabulary.walk(table))
 
 
-def _at_hand(shared: dict) -> Vocabulary:
-    """The vocabulary of this worker, built once beside the broadcast ranks."""
-    if "vocabulary" not in shared:
-        shared["vocabulary"] = Vocabulary(shared["ranks"])
-    return shared["vocabulary"]
+def _at_hand(shared: dict) -> Encoder:
+    """The encoder of this worker, built once beside the broadcast ranks."""
+    if "encoder" not in shared:
+        shared["encoder"] = Encoder(Vocabulary(shared["ranks"]), shared["pattern"], shared["by_space"])
+    return shared["encoder"]
+
+
+def _slices(batches):
+    for batch in batches:
+        for lo in range(0, batch.num_rows, ROWS):
+            yield batch.slice(lo, ROWS)
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text",
-                     out: str = "ids") -> DataFrame:
+                     out: str = "ids", by_space: bool = False) -> DataFrame:
     """``docs`` with the token ids of its text as ``array<int>`` (null text: empty)."""
-    shared = docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(path)})
+    shared = docs.sparkSession.sparkContext.broadcast(
+        {"ranks": read_ranks(path), "pattern": pattern, "by_space": by_space})
     rest = [c for c in docs.columns if c != out]
     schema = docs.select(rest).withColumn(out, F.array().cast("array<int>")).schema
 
     def run(batches):
-        words, split = _at_hand(shared.value), regex.compile(pattern)
-        for batch in batches:
+        encoder = _at_hand(shared.value)
+        for batch in _slices(batches):
             values, ends = [], [0]
             for x in batch.column(batch.schema.get_field_index(text)):
-                ids = words.encode(split, x.as_py() or "")
+                ids = encoder.encode(x.as_py() or "")
                 values.append(np.array(ids, dtype=np.int32))
                 ends.append(ends[-1] + len(ids))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
@@ -219,9 +323,9 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", out: str =
     schema = encoded.select(rest).withColumn(out, F.lit(b"")).schema
 
     def run(batches):
-        words = _at_hand(shared.value)
-        for batch in batches:
-            data = [words.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else b""
+        tokens = {r: t for t, r in shared.value["ranks"].items()}
+        for batch in _slices(batches):
+            data = [b"".join(map(tokens.__getitem__, x.values.to_numpy(zero_copy_only=False).tolist())) if x.is_valid else b""
                     for x in batch.column(batch.schema.get_field_index(ids))]
             kept = [batch.column(i) for i, c in enumerate(batch.schema.names) if c != out]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(data, pa.binary())], names=[*rest, out])
@@ -238,7 +342,7 @@ def default_vocabulary() -> tuple[str, str]:
 
 def token_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, digest of the ids and of the decoded bytes."""
-    encoded = encode_documents(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids")
+    encoded = encode_documents(docs.select("doc_id", "text"), path, pattern, by_space=True).select("doc_id", "ids")
     return decode_documents(encoded, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
