@@ -4,7 +4,7 @@ Inputs of a step are a word (hashed embedding) and its characters (largest of
 the hashed embeddings of its 3- to 5-grams, word ends marked, by dimension).  Two gated
 recurrent layers read a window of ``WINDOW`` words forwards and backwards, an
 attention pool weighs their states, a logistic unit gives the window's logit.
-Windows overlap by half and cover the whole text; a document's score is that of
+Windows of 32 words begin every 24 and cover the whole text; a document's score is that of
 its highest window, calibrated.  Everything is trained here in numpy.
 
 Training fits on a bounded sample: at most ``SAMPLE_PER_CLASS`` documents a
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,17 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-WINDOW, STRIDE = 32, 16
+WINDOW, STRIDE = 32, 24
 SAMPLE_PER_CLASS = 1500
-SAMPLE_CHARS = 60_000
+SAMPLE_CHARS = 20_000
 SAMPLE_WINDOWS = 64
 WORD_ROWS, WORD_DIM = 1 << 15, 8
 GRAM_ROWS, GRAM_DIM = 1 << 16, 12
-HIDDEN, ATTENTION = 12, 8
-EPOCHS, BATCH, RATE = 8, 256, 0.01
+HIDDEN, ATTENTION = 8, 6
+#: Gradient steps of the two turns (the same at every size).
+STEPS, BATCH, RATE = (280, 140), 256, 0.01
 #: Windows scored at once, and distinct words a task keeps at hand.
-BLOCK, MEMO_WORDS = 2048, 150_000
+BLOCK, MEMO_WORDS = 1024, 150_000
 THRESHOLD = 0.3
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -109,22 +111,29 @@ class Network:
         return np.concatenate([self.p["words"][[word_row(w) for w in words]], chars], axis=1).astype(np.float32)
 
     def layer(self, side: str, px, mask, keep):
-        """States (T, B, h) of one direction from projected inputs px[t] (callable)."""
-        U, h = self.p[f"U{side}"], np.zeros((mask.shape[1], HIDDEN), np.float32)
-        T, k = mask.shape[0], HIDDEN
+        """States (T, B, h) of one direction; ``px(t)`` gives the projected inputs of the gates and the candidate."""
+        U, k = self.p[f"U{side}"], HIDDEN
+        gates, candidate = np.ascontiguousarray(U[:, :2 * k]), np.ascontiguousarray(U[:, 2 * k:])
+        T, h = mask.shape[0], np.zeros((mask.shape[1], k), np.float32)
         out, saved = np.empty((T, mask.shape[1], k), np.float32), []
         full = bool(mask.all())
         for t in range(T) if side == "f" else range(T - 1, -1, -1):
-            x, u = px(t), h @ U
-            g = sigmoid(x[:, :2 * k] + u[:, :2 * k])
+            g, n = px(t)
+            g += h @ gates
+            np.negative(g, out=g)
+            np.exp(np.minimum(g, 60, out=g), out=g)
+            g += 1
+            np.reciprocal(g, out=g)
             z, r = g[:, :k], g[:, k:]
-            n = np.tanh(x[:, 2 * k:] + r * u[:, 2 * k:])
+            u = h @ candidate
+            n += r * u
+            np.tanh(n, out=n)
             new = n + z * (h - n)
             if not full:
                 m = mask[t][:, None]
                 new = m * new + (1 - m) * h
             if keep:
-                saved.append((t, h, z, r, n, u[:, 2 * k:]))
+                saved.append((t, h, z, r, n, u))
             h = new
             out[t] = h
         return out, saved
@@ -141,11 +150,17 @@ class Network:
     def logits(self, ids: np.ndarray, mask: np.ndarray, table: dict[str, np.ndarray]) -> np.ndarray:
         """Logits of windows ids (B, T) over the projected inputs of the words."""
         m = mask.T.astype(np.float32)
-        sides = [self.layer(s, lambda t, s=s: table[s][ids[:, t]], m, False)[0] for s in "fb"]
+        order = np.ascontiguousarray(ids.T)
+        sides = [self.layer(s, lambda t, s=s: (table[s + "g"][order[t]], table[s + "n"][order[t]]), m, False)[0] for s in "fb"]
         return self.pool(np.concatenate(sides, axis=2), m)[0]
 
     def projected(self, x: np.ndarray) -> dict[str, np.ndarray]:
-        return {s: (x @ self.p[f"W{s}"] + self.p[f"c{s}"]).astype(np.float32) for s in "fb"}
+        """Projected inputs of the words: of the gates ("fg", "bg") and the candidate ("fn", "bn")."""
+        out = {}
+        for s in "fb":
+            y = (x @ self.p[f"W{s}"] + self.p[f"c{s}"]).astype(np.float32)
+            out[s + "g"], out[s + "n"] = np.ascontiguousarray(y[:, :2 * HIDDEN]), np.ascontiguousarray(y[:, 2 * HIDDEN:])
+        return out
 
     def gradients(self, ids, mask, words, rows, starts, y, weight):
         """Loss and gradients of a batch of windows over the words with n-gram rows."""
@@ -157,7 +172,7 @@ class Network:
         table, m = self.projected(x), mask.T.astype(np.float32)
         outs, kept = {}, {}
         for s in "fb":
-            outs[s], kept[s] = self.layer(s, lambda t, s=s: table[s][ids[:, t]], m, True)
+            outs[s], kept[s] = self.layer(s, lambda t, s=s: (table[s + "g"][ids[:, t]], table[s + "n"][ids[:, t]]), m, True)
         H = np.concatenate([outs["f"], outs["b"]], axis=2)
         logit, (e, alpha, c) = self.pool(H, m)
         prob = sigmoid(logit)
@@ -174,7 +189,7 @@ class Network:
         dx = np.zeros_like(x)
         for i, s in enumerate("fb"):
             U, dh, dU = p[f"U{s}"], np.zeros((len(y), k), np.float32), np.zeros_like(p[f"U{s}"])
-            dtable = np.zeros_like(table[s])
+            dtable = np.zeros((len(x), 3 * k), np.float32)
             for t, h, z, r, n, un in reversed(kept[s]):
                 dh = dh + dH[t][:, i * k:(i + 1) * k]
                 mt = m[t][:, None]
@@ -207,10 +222,11 @@ def _batch(chosen: list[list[str]]):
     return ids, mask, list(found)
 
 
-def _fit(net: Network, chosen, y, weight, epochs: int, rng, moments: dict) -> None:
-    for _ in range(epochs):
+def _fit(net: Network, chosen, y, weight, steps: int, rng, moments: dict) -> None:
+    while steps > 0:
         order = rng.permutation(len(chosen))
-        for lo in range(0, len(order), BATCH):
+        for lo in range(0, min(len(order), steps * BATCH), BATCH):
+            steps -= 1
             pick = order[lo:lo + BATCH]
             ids, mask, words = _batch([chosen[i] for i in pick])
             rows, starts = gram_rows(words)
@@ -227,7 +243,8 @@ def _fit(net: Network, chosen, y, weight, epochs: int, rng, moments: dict) -> No
 def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
     """The fitted model (parameters and calibration), None without both classes."""
     y = np.array(labels)
-    docs = [tokens(t) for t in texts]
+    shared: dict[str, str] = {}
+    docs = [[shared.setdefault(w, w) for w in tokens(t)] for t in texts]  # one string a word
     if not (y == 1).any() or not (y == 0).any():
         return None
     rng = np.random.default_rng(seed)
@@ -264,7 +281,7 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
             target += [label] * len(picked)
         target = np.array(target, np.float32)
         even = max(1.0, (target == 0).sum() / max(1, (target > 0).sum()) / 2)
-        _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), EPOCHS if turn == 0 else EPOCHS // 2, rng, moments)
+        _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), STEPS[turn], rng, moments)
         value = _score_windows(net, docs, spans)
     top = np.array([max(v) if v else -20.0 for v in value])
     a, b = 1.0, 0.0
@@ -307,16 +324,16 @@ class Scorer:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.table = {s: np.empty((0, 3 * HIDDEN), np.float32) for s in "fb"}
+        self.table = {s + part: np.empty((0, n * HIDDEN), np.float32) for s in "fb" for part, n in (("g", 2), ("n", 1))}
         self.size = 0
 
     def learn(self, words: list[str]) -> None:
         """Rows for words not seen before."""
         new = self.net.projected(self.net.inputs(words))
         need = self.size + len(words)
-        for s in "fb":
+        for s in self.table:
             if need > len(self.table[s]):
-                grown = np.empty((max(need, 2 * len(self.table[s])), 3 * HIDDEN), np.float32)
+                grown = np.empty((max(need, 2 * len(self.table[s])), self.table[s].shape[1]), np.float32)
                 grown[:self.size] = self.table[s][:self.size]
                 self.table[s] = grown
             self.table[s][self.size:need] = new[s]
@@ -329,37 +346,33 @@ class Scorer:
         top = np.full(len(texts), -np.inf)
         if len(self.known) > MEMO_WORDS:
             self.clear()
-        rows, owner = [], []
-        for i, text in enumerate(texts):
-            words = tokens(text)
-            for part in range(0, len(words), 50_000):  # long texts by parts; windows span the seams
-                lo, hi = max(0, part - WINDOW + 1), min(len(words), part + 50_000)
-                self._queue(words[lo:hi], i, rows, owner)
-                if len(rows) >= BLOCK // 2:
-                    self._flush(rows, owner, top)
-        self._flush(rows, owner, top)
+        whole, short, owner, short_owner = [], [], [], []
+        split = [tokens(text) for text in texts]
+        fresh = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.known]
+        for lo in range(0, len(fresh), 4096):
+            self.learn(fresh[lo:lo + 4096])
+        for i, words in enumerate(split):
+            ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            if len(ids) >= WINDOW:
+                starts = np.array(windows(len(ids)))
+                whole.append(ids[starts[:, None] + np.arange(WINDOW)])
+                owner.append(np.full(len(starts), i))
+            elif len(ids):
+                short.append(ids)
+                short_owner.append(i)
+        if whole:
+            ids, owner = np.concatenate(whole), np.concatenate(owner)
+            mask = np.ones((BLOCK, WINDOW), np.float32)
+            for lo in range(0, len(ids), BLOCK):
+                part = ids[lo:lo + BLOCK]
+                np.maximum.at(top, owner[lo:lo + BLOCK], self.net.logits(part, mask[:len(part)], self.table))
+        if short:
+            ids, mask = np.zeros((len(short), WINDOW), np.int64), np.zeros((len(short), WINDOW), np.float32)
+            for k, x in enumerate(short):
+                ids[k, :len(x)], mask[k, :len(x)] = x, 1
+            np.maximum.at(top, short_owner, self.net.logits(ids, mask, self.table))
         return np.where(np.isfinite(top), sigmoid(self.a * top + self.b), 0.0)
 
-    def _queue(self, words, i, rows, owner) -> None:
-        fresh = [w for w in dict.fromkeys(words) if w not in self.known]
-        if fresh:
-            self.learn(fresh)
-        ids = np.array([self.known[w] for w in words], np.int64)
-        for a in windows(len(ids)):
-            rows.append(ids[a:a + WINDOW])
-            owner.append(i)
-
-    def _flush(self, rows, owner, top) -> None:
-        for lo in range(0, len(rows), BLOCK):
-            part = rows[lo:lo + BLOCK]
-            ids, mask = np.zeros((len(part), WINDOW), np.int64), np.ones((len(part), WINDOW), np.float32)
-            for k, r in enumerate(part):
-                ids[k, :len(r)] = r
-                mask[k, len(r):] = 0
-            np.maximum.at(top, owner[lo:lo + BLOCK], self.net.logits(ids, mask, self.table))
-        rows.clear()
-        owner.clear()
-
 
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
