@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratecraft.llm import common, merkle, mixing, sharding
-from conftest import *  # noqa: F401,F403  (the shared spark fixture)
 from tests.llm.conftest import union_find
 
 ODD = [(1, "a b c"), (2, None), (None, "x"), (None, None), (3, ""), (3, ""), (4, " \n\t "), (5, "wörter ß\n\nzwei"),
