@@ -1,24 +1,25 @@
-"""Substring dedup by content-defined chunking.
-
-A 16-bit gear hash rolls over the characters (each step shifts one bit and adds
-a number drawn from the new character, so it sees the last 16); a chunk ends
-where its top bits are zero, within ``MIN_CHARS`` and ``MAX_CHARS``.  An
-insertion thus moves only the cuts near it, and a passage is cut alike in every
-document but for its ends.  The holders of each chunk digest are found by a
-grouped aggregation.
-
-Runs of consecutive chunks that other documents hold too are candidates.  A run
-with at least ``MIN_WORDS`` words is a repeated passage.  A shorter one, down to
-``RUN_WORDS``, may be the inside of a passage whose ends fell into cut chunks:
-the exact check hashes every stretch of ``MIN_WORDS`` words around it and takes
-those that another document has among its own.  The document with the smallest
-key keeps a passage, in the others it is removed.
+"""Substring dedup by content-defined chunking: every passage of ``MIN_WORDS`` words that another document holds.
+
+A rolling hash gives each run of ``GRAM`` words a number; the mark of a stretch of
+``MIN_WORDS`` words is the smallest number inside it.  The mark depends on nothing
+but the stretch's words, so two documents that share a stretch share its mark, at
+any offset and in any surroundings.  A text is cut into chunks where the mark
+changes (about every 18 words); a chunk is the stretches of one mark.
+
+1. Marks that only one document holds are discarded by a grouped aggregation; no
+   shared stretch is lost by it.
+2. The stretches of the other marks are compared exactly, by their own digests.
+   Chunks that are equal with their whole surroundings are collapsed first, so a
+   stretch is sent once for all its copies.
+3. Stretches with two holders or more are repeated.  The document with the
+   smallest key keeps a passage, in the others it is removed, up to its real ends.
 
 Digests travel, not texts: they are aggregated with partial sums, then joined
 back by equi-joins that may be split when skewed; a passage shared by very many
-documents never meets in one task.
+documents never meets in one task.  Words, stretches and chunks with equal 64-bit
+digests count as equal.  ``cut`` (chunks of characters) is not used by the search.
 
-Edge cases: null and empty texts have no chunks and stay as they are; rows with
+Edge cases: null, empty and short texts have no stretches and stay as they are; rows with
 equal keys count as one document and keep what they share among each other; all
 null keys count as one document that comes last (keys are longs); extra columns
 pass through ``without_repeats``; an empty table stays empty.
@@ -26,23 +27,22 @@ pass through ``without_repeats``; an empty table stays empty.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import WORD, table
+from ratecraft.llm.common import table
 
 MIN_CHARS, MAX_CHARS = 12, 72
 #: A cut where the top bits of the gear hash are zero: one in 32 characters.
 CUT_BITS = 5
-#: Words of the shortest passage to find, and of the shortest run that is looked at.
-MIN_WORDS, RUN_WORDS = 51, 8
-_WORD = re.compile(WORD)
+#: Words of the shortest passage to find, and of the runs whose numbers give the marks.
+MIN_WORDS, GRAM = 51, 16
+#: Most stretches of one chunk (a text that repeats itself keeps one mark for long).
+MOST = 64
 #: Stands for a null key, after all others.
 NO_KEY = (1 << 63) - 1
 
@@ -80,90 +80,161 @@ def _id(key: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY))
 
 
-def chunk_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, h, digest, start, stop) of every chunk of every text."""
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse (modulo 2 ** 64)."""
+    if len(_POWERS["up"]) < n:
+        for side, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            p = np.full(max(n, 1 << 14), base, np.uint64)
+            p[0] = 1
+            _POWERS[side] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def prefix_sums(h: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * powers(len(h))[0], out=out[1:])
+    return out
+
+
+def digests(sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Digests of the ranges begins..ends from the prefix sums, the same at any offset."""
+    return mix((sums[ends] - sums[begins]) * powers(len(sums))[1][begins])
+
+
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and digests of the words (runs of characters other than ASCII white space)."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    inside = np.zeros(len(codes) + 2, np.int8)
+    inside[1:-1] = (codes != 32) & ((codes < 9) | (codes > 13))
+    edges = np.flatnonzero(np.diff(inside))
+    begins, ends = edges[::2], edges[1::2]
+    return begins, ends, digests(prefix_sums(mix(codes.astype(np.uint64) + np.uint64(_BASE))), begins, ends)
+
+
+def marks(sums: np.ndarray, min_words: int) -> np.ndarray:
+    """The mark of each stretch of ``min_words`` words: the smallest digest of its runs of ``GRAM`` words."""
+    n, gram = len(sums) - 1, min(GRAM, min_words)
+    at = np.arange(max(0, n - gram + 1))
+    low, width, size = digests(sums, at, at + gram), 1, min_words - gram + 1
+    while 2 * width <= size:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    return np.minimum(low[:len(low) - (size - width)], low[size - width:])
+
+
+def mark_rows(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
+    """(id, h, mark) of every mark of every text, once a text."""
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                ids, hashes, digests, starts, stops = [], [], [], [], []
-                part = batch.slice(lo, 512)
+                part, owners, found = batch.slice(lo, 512), [], []
                 for i, value in enumerate(part.column(1)):
-                    body = value.as_py()
-                    ends = cut(body or "")
-                    begins = [0, *ends[:-1]]
-                    ids += [i] * len(ends)
-                    starts += begins if ends else []
-                    stops += ends
-                    digests += [xxhash.xxh64_intdigest(body[a:b]) for a, b in zip(begins, ends)]
-                hashes = part.column(2).take(pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(pa.array(ids, pa.int32())), hashes,
-                    pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(starts, pa.int32()),
-                    pa.array(stops, pa.int32())], names=["id", "h", "digest", "start", "stop"])
+                    words = words_of(value.as_py() or "")[2]
+                    if len(words) >= min_words:
+                        found.append(np.unique(marks(prefix_sums(words), min_words)))
+                        owners.append(np.full(len(found[-1]), i, np.int32))
+                if found:
+                    at = pa.array(np.concatenate(owners))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), pa.array(
+                        np.concatenate(found).view(np.int64))], names=["id", "h", "mark"])
 
     rows = docs.select(_id(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    return rows.mapInArrow(run, "id bigint, h bigint, digest bigint, start int, stop int")
-
-
-def shared_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per (id, h): the chunks that other documents hold, as sorted ``array<struct<start, stop, first>>``."""
-    chunks = chunk_rows(docs, key, text)
-    seen = chunks.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    rows = chunks.join(seen.where("first <> last").drop("last"), "digest")
-    return rows.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "first"))).alias("chunks"))
-
-
-def candidates(id_: int, text: str, chunks: list[tuple[int, int, int]], min_words: int):
-    """Spans (start, stop, first) of long runs, and stretches (digest, start, stop) around the short ones."""
-    words = [m.span() for m in _WORD.finditer(text)]
-    begins, ends = [a for a, _ in words], [b for _, b in words]
-    spans, stretches, lo = [], {}, 0
-    while lo < len(chunks):
-        hi = lo + 1
-        while hi < len(chunks) and chunks[hi][0] == chunks[hi - 1][1]:
-            hi += 1
-        a, b = bisect_left(begins, chunks[lo][0]), bisect_right(ends, chunks[hi - 1][1])  # words inside
-        if b - a >= min_words:
-            for start, stop, first in chunks[lo:hi]:
-                if spans and spans[-1][1] == start and (spans[-1][2] == id_) == (first == id_):
-                    spans[-1] = (spans[-1][0], stop, min(first, spans[-1][2]))
-                else:
-                    spans.append((start, stop, first))
-        elif b - a >= RUN_WORDS:
-            for w in range(max(0, b - min_words), min(a, len(words) - min_words) + 1):
-                if w not in stretches:
-                    body = " ".join(text[x:y] for x, y in words[w:w + min_words])
-                    stretches[w] = (xxhash.xxh64_intdigest(body), begins[w], ends[w + min_words - 1])
-        lo = hi
-    return spans, list(stretches.values())
-
-
-_SPANS = "array<struct<start:int,stop:int,first:bigint>>"
+    return rows.mapInArrow(run, "id bigint, h bigint, mark bigint")
+
+
+def shared_marks(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
+    """Per (id, h): the marks that other documents hold too."""
+    rows = mark_rows(docs, key, text, min_words)
+    seen = rows.groupBy("mark").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    rows = rows.join(seen.where("first <> last").select("mark"), "mark")
+    return rows.groupBy("id", "h").agg(F.collect_list("mark").alias("marks"))
+
+
+def chunks_of(text: str, shared, min_words: int):
+    """(digest with surroundings, stretch digests, their begins, their ends) of each chunk with a shared mark."""
+    begins, ends, words = words_of(text)
+    sums = prefix_sums(words)
+    own = marks(sums, min_words)
+    wanted = np.isin(own, np.asarray(shared, np.int64).view(np.uint64))
+    at = np.arange(len(own))
+    stretches = digests(sums, at, at + min_words).view(np.int64)
+    edges = np.flatnonzero(own[1:] != own[:-1]) + 1
+    for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(own)]):
+        if wanted[lo]:
+            for a in range(lo, hi, MOST):
+                b = min(hi, a + MOST)
+                whole = digests(sums, np.array([a]), np.array([b - 1 + min_words])) + np.uint64(b - a)
+                yield int(mix(whole).view(np.int64)[0]), stretches[a:b], begins[a:b], ends[a + min_words - 1:b + min_words - 1]
+
+
+def repeated_runs(id_: int, firsts: list[int | None], begins: list[int], ends: list[int]):
+    """(start, stop, drop, first) of the runs of stretches of one decision in a chunk; None: not repeated."""
+    out, last = [], None
+    for first, start, stop in zip(firsts, begins, ends):
+        drop = None if first is None else first != id_
+        if drop is not None and drop == last:
+            out[-1] = (out[-1][0], stop, drop, min(first, out[-1][3]))
+        elif drop is not None:
+            out.append((start, stop, drop, first))
+        last = drop
+    return out
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per (id, h): disjoint, sorted spans ``(start, stop, drop, first)`` of passages other documents hold."""
-    def run(batches):
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("first", pa.int64())]))
-        tried = pa.list_(pa.struct([("digest", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]))
+    """Per (id, h): sorted spans ``(start, stop, drop, first)`` of passages other documents hold, disjoint for each decision."""
+    def chunks(names):
+        def run(batches):
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    part, rows, owners = batch.slice(lo, 256), [], []
+                    for i, (body, shared) in enumerate(zip(part.column(2), part.column(3))):
+                        found = list(chunks_of(body.as_py(), shared.values.to_numpy(), min_words))
+                        rows += found
+                        owners += [i] * len(found)
+                    at = pa.array(owners, pa.int32())
+                    cols = {"id": part.column(0).take(at), "h": part.column(1).take(at), "chunk": pa.array([r[0] for r in rows], pa.int64())}
+                    cols |= {n: pa.array([r[k] for r in rows], pa.list_(t)) for n, k, t in (
+                        ("stretches", 1, pa.int64()), ("begins", 2, pa.int32()), ("ends", 3, pa.int32())) if n in names}
+                    yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
+        return run
+
+    def runs(batches):
         for batch in batches:
-            spans, stretches = [], []
-            for id_, body, found in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3)]):
-                sure, maybe = candidates(id_, body, [(c["start"], c["stop"], c["first"]) for c in found], min_words)
-                spans.append([{"start": a, "stop": b, "first": f} for a, b, f in sure])
-                stretches.append([{"digest": d - (1 << 64) if d >> 63 else d, "start": a, "stop": b} for d, a, b in maybe])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind), pa.array(stretches, tried)],
-                                             names=["id", "h", "spans", "stretches"])
-
-    held_by = shared_chunks(docs, key, text).withColumnsRenamed({"id": "__id", "h": "__h2"})
-    found = with_identity(docs, key, text).join(held_by, _same()).select("__key", "__h", text, "chunks", key).mapInArrow(
-        run, "id bigint, h bigint, spans array<struct<start:int,stop:int,first:bigint>>, "
-             "stretches array<struct<digest:bigint,start:int,stop:int>>")
-    tried = found.select("id", "h", F.explode("stretches").alias("s")).select("id", "h", "s.*")
-    held = tried.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
-    more = tried.join(held.drop("last"), "digest").select("id", "h", "start", "stop", "first")
-    rows = found.select("id", "h", F.explode("spans").alias("s")).select("id", "h", "s.*").unionByName(more)
-    rows = rows.withColumn("drop", F.col("id") != F.col("first"))
+            ids, chunk_runs = batch.column(0).to_pylist(), []
+            at = []
+            for i, (found, begins, ends) in enumerate(zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)])):
+                firsts = [None] * len(begins)
+                for x in found:
+                    firsts[x["i"]] = x["first"]
+                new = repeated_runs(ids[i], firsts, begins, ends)
+                chunk_runs += new
+                at += [i] * len(new)
+            at, kinds = pa.array(at, pa.int32()), (pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[
+                pa.array([r[k] for r in chunk_runs], t) for k, t in enumerate(kinds)]], names=["id", "h", "start", "stop", "drop", "first"])
+
+    held_by = shared_marks(docs, key, text, min_words).withColumnsRenamed({"id": "__id", "h": "__h2"})
+    found = with_identity(docs, key, text).join(held_by, _same()).select("__key", "__h", text, "marks", key)
+    held = found.mapInArrow(chunks(["chunk", "id", "stretches"]), "chunk bigint, id bigint, stretches array<bigint>")
+    held = held.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("stretches").alias("stretches"))
+    sent = held.select("chunk", "first", "last", F.posexplode("stretches").alias("i", "digest"))
+    holders = sent.groupBy("digest").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last")
+    firsts = sent.select("chunk", "i", "digest").join(holders.drop("last"), "digest")
+    firsts = firsts.groupBy("chunk").agg(F.collect_list(F.struct("i", "first")).alias("found"))
+    places = found.mapInArrow(chunks(["chunk", "id", "h", "begins", "ends"]),
+                              "chunk bigint, id bigint, h bigint, begins array<int>, ends array<int>")
+    rows = places.join(firsts, "chunk").select("id", "h", "found", "begins", "ends").mapInArrow(
+        runs, "id bigint, h bigint, start int, stop int, drop boolean, first bigint")
     # spans of one decision that touch are joined into one
     of = Window.partitionBy("id", "h", "drop").orderBy("start", "stop")
     fresh = F.coalesce(F.col("start") > F.max("stop").over(of.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))

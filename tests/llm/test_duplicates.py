@@ -1,5 +1,6 @@
 """op2, op5, op9 against brute force; hot groups through small cells; odd rows."""
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -7,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from ratecraft.llm import chunks, lines, simhash
+from ratecraft.llm.common import WORD
 from tests.llm.conftest import union_find
 
 RNG = random.Random(11)
@@ -155,6 +157,44 @@ def test_shared_passages_are_found_at_any_offset(docs_of):
     assert chunks.without_repeats(docs_of([])).count() == 0
 
 
+def plain_spans(rows, n=chunks.MIN_WORDS):
+    """Drop flags of every character by all stretches of n words, and the rows with any repeated stretch."""
+    words = [[(m.start(), m.end(), m.group()) for m in re.finditer(WORD, t or "")] for _, t in rows]
+    keys = [chunks.NO_KEY if k is None else k for k, _ in rows]
+    stretches = [[tuple(w for *_, w in ws[i:i + n]) for i in range(len(ws) - n + 1)] for ws in words]
+    holders = defaultdict(set)
+    for key, found in zip(keys, stretches):
+        for s in found:
+            holders[s].add(key)
+    drops, flagged = [], []
+    for key, (_, text), ws, found in zip(keys, rows, words, stretches):
+        drop = [False] * len(text or "")
+        for i, s in enumerate(found):
+            if min(holders[s]) != key:
+                drop[ws[i][0]:ws[i + n - 1][1]] = [True] * (ws[i + n - 1][1] - ws[i][0])
+        drops.append("".join(c for c, d in zip(text or "", drop) if not d))
+        flagged.append(any(len(holders[s]) > 1 for s in found))
+    return drops, flagged
+
+
+def check_spans(docs_of, rows):
+    kept, flagged = plain_spans(rows)
+    got = sorted((str(r["doc_id"]), r["text"] or "", r["__kept"] or "", bool(r["__spans"])) for r in chunks.without_repeats(docs_of(rows)).collect())
+    assert got == sorted((str(k), t or "", x, f) for (k, t), x, f in zip(rows, kept, flagged))
+    return flagged
+
+
+def test_quotes_of_a_document_with_copies_are_found(docs_of):
+    rng = random.Random(17)
+    rows = []
+    for p in range(12):  # documents 1 and 4 quote 51 to 62 words of document 2, which has a copy and a near copy
+        whole = prose(rng, 200).split(" ")
+        quote = " ".join(whole[70:121 + p])
+        rows += [(10 * p + 1, f"{prose(rng, 30)} {quote} {prose(rng, 30)}"), (10 * p + 2, " ".join(whole)), (10 * p + 3, " ".join(whole)),
+                 (10 * p + 5, edit(rng, " ".join(whole), 1)), (10 * p + 4, f"{prose(rng, 9)} {quote}\n{prose(rng, 50)}")]
+    assert all(check_spans(docs_of, rows))
+
+
 def test_cuts_resist_shifts_and_cover_the_text():
     rng = random.Random(2)
     text = prose(rng, 400) + " ß漢😀 " + prose(rng, 400)
