@@ -160,80 +160,108 @@ def shared_marks(docs: DataFrame, key: str, text: str, min_words: int) -> DataFr
     return rows.groupBy("id", "h").agg(F.collect_list("mark").alias("marks"))
 
 
-def chunks_of(text: str, shared, min_words: int):
-    """(digest with surroundings, stretch digests, their begins, their ends) of each chunk with a shared mark."""
+def chunks_of(text: str, shared: np.ndarray, min_words: int):
+    """Of the chunks with a shared mark: (digests with surroundings, sizes), and of their stretches one after another
+    (digests, begins, ends).  A chunk has ``MOST`` stretches at most, and each begins and ends under 256 characters after the last."""
     begins, ends, words = words_of(text)
     sums = prefix_sums(words)
     own = marks(sums, min_words)
-    wanted = np.isin(own, np.asarray(shared, np.int64).view(np.uint64))
     at = np.arange(len(own))
-    stretches = digests(sums, at, at + min_words).view(np.int64)
-    edges = np.flatnonzero(own[1:] != own[:-1]) + 1
-    for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(own)]):
-        if wanted[lo]:
-            for a in range(lo, hi, MOST):
-                b = min(hi, a + MOST)
-                whole = digests(sums, np.array([a]), np.array([b - 1 + min_words])) + np.uint64(b - a)
-                yield int(mix(whole).view(np.int64)[0]), stretches[a:b], begins[a:b], ends[a + min_words - 1:b + min_words - 1]
-
-
-def repeated_runs(id_: int, firsts: list[int | None], begins: list[int], ends: list[int]):
-    """(start, stop, drop, first) of the runs of stretches of one decision in a chunk; None: not repeated."""
-    out, last = [], None
-    for first, start, stop in zip(firsts, begins, ends):
-        drop = None if first is None else first != id_
-        if drop is not None and drop == last:
-            out[-1] = (out[-1][0], stop, drop, min(first, out[-1][3]))
-        elif drop is not None:
-            out.append((start, stop, drop, first))
-        last = drop
-    return out
+    begins, ends = begins[:len(own)], ends[min_words - 1:]
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (np.diff(begins) > 255) | (np.diff(ends) > 255)
+    starts = np.flatnonzero((at - np.maximum.accumulate(np.where(fresh, at, 0))) % MOST == 0)
+    stops = np.append(starts[1:], len(own))
+    inside = np.isin(own, shared.view(np.uint64))
+    lo, hi = starts[inside[starts]], stops[inside[starts]]
+    whole = mix(digests(sums, lo, hi - 1 + min_words) + (hi - lo).astype(np.uint64))
+    at = at[inside]
+    return whole.view(np.int64), hi - lo, digests(sums, at, at + min_words).view(np.int64), begins[inside], ends[inside]
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
+def repeated_runs(ids, starts, stops, at, begin_steps, end_steps, counts, found, firsts):
+    """(row, start, stop, drop, first) of the runs of stretches of one decision in each row's chunk.
+
+    The chunk of a row has stretches ``at[row]..at[row + 1]``; the steps lead from one to the
+    next.  ``counts[row]`` of them are repeated: their numbers in the chunk and first holders.
+    """
+    row = np.repeat(np.arange(len(ids)), np.diff(at))
+    places = []
+    for base, steps in ((starts, begin_steps), (stops, end_steps)):
+        run = np.cumsum(steps.astype(np.int64))
+        places.append(base[row] + run - run[at[:-1]][row])
+    first = np.zeros(len(row), np.int64)
+    state = np.zeros(len(row), np.int8)  # 1: keeps, 2: drops
+    hit = np.repeat(at[:-1], counts) + found
+    first[hit] = firsts
+    state[hit] = 1 + (firsts != ids[row[hit]])
+    edge = np.flatnonzero(np.append(True, (state[1:] != state[:-1]) | (row[1:] != row[:-1]))[:len(row)])
+    if not len(edge):
+        return [np.zeros(0, np.int64)] * 5
+    last, low, kept = np.append(edge[1:], len(row)) - 1, np.minimum.reduceat(first, edge), state[edge] > 0
+    edge, last = edge[kept], last[kept]
+    return row[edge], places[0][edge], places[1][last], state[edge] == 2, low[kept]
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Per (id, h): sorted spans ``(start, stop, drop, first)`` of passages other documents hold, disjoint for each decision."""
-    def chunks(names):
+    def chunks(of_places: bool):
         def run(batches):
             for batch in batches:
                 for lo in range(0, batch.num_rows, 256):
-                    part, rows, owners = batch.slice(lo, 256), [], []
-                    for i, (body, shared) in enumerate(zip(part.column(2), part.column(3))):
-                        found = list(chunks_of(body.as_py(), shared.values.to_numpy(), min_words))
-                        rows += found
-                        owners += [i] * len(found)
-                    at = pa.array(owners, pa.int32())
-                    cols = {"id": part.column(0).take(at), "h": part.column(1).take(at), "chunk": pa.array([r[0] for r in rows], pa.int64())}
-                    cols |= {n: pa.array([r[k] for r in rows], pa.list_(t)) for n, k, t in (
-                        ("stretches", 1, pa.int64()), ("begins", 2, pa.int32()), ("ends", 3, pa.int32())) if n in names}
-                    yield pa.RecordBatch.from_arrays([cols[n] for n in names], names=names)
+                    part = batch.slice(lo, 256)
+                    rows = [chunks_of(body.as_py(), shared.values.to_numpy(), min_words)
+                            for body, shared in zip(part.column(2), part.column(3))]
+                    at = pa.array(np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows]))
+                    whole, sizes, stretches, begins, ends = (np.concatenate([r[k] for r in rows]) for k in range(5))
+                    offsets = _offsets(sizes)
+                    cols = {"chunk": pa.array(whole), "id": part.column(0).take(at)}
+                    if of_places:
+                        cols["h"] = part.column(1).take(at)
+                        for name, places in (("start", begins), ("stop", ends)):
+                            cols[name] = pa.array(places[offsets[:-1]].astype(np.int32))
+                            steps = np.diff(places, prepend=0)
+                            steps[offsets[:-1]] = 0
+                            cols[name + "_steps"] = pa.Array.from_buffers(pa.binary(), len(whole), [
+                                None, pa.py_buffer(offsets), pa.py_buffer(steps.astype(np.uint8))])
+                    else:
+                        cols["stretches"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(stretches))
+                    yield pa.RecordBatch.from_pydict(cols)
         return run
 
     def runs(batches):
         for batch in batches:
-            ids, chunk_runs = batch.column(0).to_pylist(), []
-            at = []
-            for i, (found, begins, ends) in enumerate(zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)])):
-                firsts = [None] * len(begins)
-                for x in found:
-                    firsts[x["i"]] = x["first"]
-                new = repeated_runs(ids[i], firsts, begins, ends)
-                chunk_runs += new
-                at += [i] * len(new)
-            at, kinds = pa.array(at, pa.int32()), (pa.int32(), pa.int32(), pa.bool_(), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[
-                pa.array([r[k] for r in chunk_runs], t) for k, t in enumerate(kinds)]], names=["id", "h", "start", "stop", "drop", "first"])
+            if not batch.num_rows:
+                continue
+            c = {n: batch.column(n) for n in batch.schema.names}
+            at, steps = None, []
+            for n in ("start_steps", "stop_steps"):
+                values = c[n].to_pylist()
+                at = _offsets(np.array([len(v) for v in values]))
+                steps.append(np.frombuffer(b"".join(values), np.uint8))
+            hits = c["found"].flatten()
+            row, *out = repeated_runs(
+                c["id"].to_numpy(), c["start"].to_numpy(), c["stop"].to_numpy(), at, *steps,
+                np.diff(c["found"].offsets.to_numpy()), hits.field(0).to_numpy(), hits.field(1).to_numpy())
+            row, kinds = pa.array(row), (pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([c["id"].take(row), c["h"].take(row), *[pa.array(x).cast(t) for x, t in zip(out, kinds)]],
+                                             names=["id", "h", "start", "stop", "drop", "first"])
 
     held_by = shared_marks(docs, key, text, min_words).withColumnsRenamed({"id": "__id", "h": "__h2"})
     found = with_identity(docs, key, text).join(held_by, _same()).select("__key", "__h", text, "marks", key)
-    held = found.mapInArrow(chunks(["chunk", "id", "stretches"]), "chunk bigint, id bigint, stretches array<bigint>")
+    held = found.mapInArrow(chunks(False), "chunk bigint, id bigint, stretches array<bigint>")
     held = held.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("stretches").alias("stretches"))
+    held = held.where("first <= last")  # always so; both uses of the chunks read the same columns and share one shuffle
     sent = held.select("chunk", "first", "last", F.posexplode("stretches").alias("i", "digest"))
     holders = sent.groupBy("digest").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last")
     firsts = sent.select("chunk", "i", "digest").join(holders.drop("last"), "digest")
     firsts = firsts.groupBy("chunk").agg(F.collect_list(F.struct("i", "first")).alias("found"))
-    places = found.mapInArrow(chunks(["chunk", "id", "h", "begins", "ends"]),
-                              "chunk bigint, id bigint, h bigint, begins array<int>, ends array<int>")
-    rows = places.join(firsts, "chunk").select("id", "h", "found", "begins", "ends").mapInArrow(
+    places = found.mapInArrow(chunks(True), "chunk bigint, id bigint, h bigint, start int, start_steps binary, stop int, stop_steps binary")
+    rows = places.join(firsts, "chunk").drop("chunk").mapInArrow(
         runs, "id bigint, h bigint, start int, stop int, drop boolean, first bigint")
     # spans of one decision that touch are joined into one
     of = Window.partitionBy("id", "h", "drop").orderBy("start", "stop")

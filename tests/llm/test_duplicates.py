@@ -195,6 +195,19 @@ def test_quotes_of_a_document_with_copies_are_found(docs_of):
     assert all(check_spans(docs_of, rows))
 
 
+def test_passages_of_short_words_are_found_up_to_their_ends(docs_of):
+    rng = random.Random(23)
+    tiny = lambda n: " ".join(rng.choice("abcdefghij") for _ in range(n))
+    rows = []
+    for p in range(40):  # 50 words are too few, 51 and more are found whole, also with other white space
+        quote = tiny(50 + p % 3)
+        rows += [(10 * p + 1, f"{tiny(20)} X{p} {quote} Y{p} é漢😀 {tiny(20)}"), (10 * p + 2, f"\tZ{p}\n{quote.replace(' ', chr(10), 5)} W{p} {tiny(8)}")]
+    rows += [(900, None), (901, ""), (None, rows[5][1]), (None, rows[5][1]), (902, "x " * 3000), (903, "x " * 700), (904, "y" * 20000),
+             (1, rows[1][1]), (905, " ".join(rows[k][1] for k in range(6)))]
+    flagged = check_spans(docs_of, rows)
+    assert flagged[0:40:6].count(False) >= 1 and all(flagged[4:80:6])
+
+
 def test_cuts_resist_shifts_and_cover_the_text():
     rng = random.Random(2)
     text = prose(rng, 400) + " ß漢😀 " + prose(rng, 400)
