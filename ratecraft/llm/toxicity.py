@@ -4,7 +4,7 @@ Inputs of a step are a word (hashed embedding) and its characters (largest of
 the hashed embeddings of its 3- to 5-grams, word ends marked, by dimension).  Two gated
 recurrent layers read a window of ``WINDOW`` words forwards and backwards, an
 attention pool weighs their states, a logistic unit gives the window's logit.
-Windows of 32 words begin every 24 and cover the whole text; a document's score is that of
+Windows overlap by half and cover the whole text; a document's score is that of
 its highest window, calibrated.  Everything is trained here in numpy.
 
 Training fits on a bounded sample: at most ``SAMPLE_PER_CLASS`` documents a
@@ -33,15 +33,15 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 SAMPLE_PER_CLASS = 1500
 SAMPLE_CHARS = 20_000
 SAMPLE_WINDOWS = 64
 WORD_ROWS, WORD_DIM = 1 << 15, 8
 GRAM_ROWS, GRAM_DIM = 1 << 16, 12
-HIDDEN, ATTENTION = 8, 6
-#: Gradient steps of the two turns (the same at every size).
-STEPS, BATCH, RATE = (280, 140), 256, 0.01
+HIDDEN, ATTENTION = 12, 8
+#: Passes over the chosen windows in the two turns, and gradient steps at least.
+EPOCHS, STEPS, BATCH, RATE = (8, 4), (280, 140), 256, 0.01
 #: Windows scored at once, and distinct words a task keeps at hand.
 BLOCK, MEMO_WORDS = 1024, 150_000
 THRESHOLD = 0.3
@@ -281,7 +281,8 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
             target += [label] * len(picked)
         target = np.array(target, np.float32)
         even = max(1.0, (target == 0).sum() / max(1, (target > 0).sum()) / 2)
-        _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), STEPS[turn], rng, moments)
+        steps = max(STEPS[turn], EPOCHS[turn] * -(-len(chosen) // BATCH))
+        _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), steps, rng, moments)
         value = _score_windows(net, docs, spans)
     top = np.array([max(v) if v else -20.0 for v in value])
     a, b = 1.0, 0.0

@@ -79,6 +79,33 @@ def test_windows_overlap_and_cover():
         assert covered == list(range(n)) and all(b - a < toxicity.WINDOW for a, b in zip(starts, starts[1:]))
 
 
+def test_gradients_match_small_differences():
+    """Steps of 1e-3: a step of 2e-2 can move an n-gram past another, where the largest has a kink."""
+    net, rng = toxicity.Network(3), np.random.default_rng(0)
+    ids, mask, found = toxicity._batch([["one", "two", "three"], ["four", "two"], ["five"] * 5])
+    rows, starts = toxicity.gram_rows(found)
+    net.p = {k: (v.astype(np.float64) + rng.normal(0, .05, v.shape)) for k, v in net.p.items()}
+    at = np.array([toxicity.word_row(w) for w in found])
+    loss = lambda: net.gradients(ids, mask, at, rows, starts, np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 1.0]))
+    for name, grad in loss()[1].items():
+        for k in np.argsort(-np.abs(grad).ravel())[:3]:
+            place = np.unravel_index(k, grad.shape)
+            old, sides = net.p[name][place], []
+            for step in (1e-3, -1e-3):
+                net.p[name][place] = old + step
+                sides.append(loss()[0])
+            net.p[name][place] = old
+            assert (sides[0] - sides[1]) / 2e-3 == pytest.approx(grad[place], rel=.02, abs=1e-4), name
+
+
+def test_half_a_window_lies_whole_in_some_window():
+    half = toxicity.WINDOW // 2
+    for n in (33, 57, 400):
+        starts = toxicity.windows(n)
+        assert all(any(a <= k and k + half <= a + toxicity.WINDOW for a in starts) for k in range(n - half + 1))
+    assert toxicity.HIDDEN >= 12 and toxicity.ATTENTION >= 8
+
+
 def test_held_out_rows_are_never_trained_on(spark, docs_of):
     import zlib
     ids = range(200)
