@@ -8,10 +8,12 @@ Windows overlap by half and cover the whole text; a document's score is that of
 its highest window, calibrated.  Everything is trained here in numpy.
 
 Training fits on a bounded sample: at most ``SAMPLE_PER_CLASS`` documents a
-class (the smallest hashes of their keys), of each its first ``SAMPLE_CHARS``
-characters and at most ``SAMPLE_WINDOWS`` windows.  Which window of a toxic
+class (the smallest hashes of their keys), of each the ``SAMPLE_WINDOWS`` best
+windows of its whole text.  Which window of a toxic
 document is the toxic one is not labelled: the first choice follows the log
-odds of its words and n-grams, the second the network's own scores.  Scoring
+odds of its words and n-grams, the second the network's own scores.  Log odds are
+taken from counts by hashed row (a fixed number of rows) and windows are
+chosen in tasks; only the chosen windows are collected.  Scoring
 reads every window of every text.
 
 Edge cases: null and empty texts (no word) get score 0; a null key is not held
@@ -31,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import table
+from ratecraft.llm.common import saved, table
 
 WINDOW, STRIDE = 32, 16
 SAMPLE_PER_CLASS = 1500
-SAMPLE_CHARS = 20_000
 SAMPLE_WINDOWS = 64
+#: Rows of the words' log odds.
+ODDS_ROWS = 1 << 18
 WORD_ROWS, WORD_DIM = 1 << 15, 8
 GRAM_ROWS, GRAM_DIM = 1 << 16, 12
 HIDDEN, ATTENTION = 12, 8
@@ -240,50 +243,73 @@ def _fit(net: Network, chosen, y, weight, steps: int, rng, moments: dict) -> Non
                 net.p[name] -= (RATE / (1 - 0.9 ** t)) * m1 / (np.sqrt(m2 / (1 - 0.99 ** t)) + 1e-6)
 
 
+def odds_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-odds rows of distinct words (n-grams follow the words' ``ODDS_ROWS``) and where each word's n-grams begin."""
+    grams, starts = gram_rows(words)
+    return np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % ODDS_ROWS for w in words], np.int64), grams + ODDS_ROWS, starts
+
+
+def seen_rows(words: list[str]) -> np.ndarray:
+    """Distinct log-odds rows of a document."""
+    if not words:
+        return np.zeros(0, np.int64)
+    own, grams, _ = odds_rows(list(dict.fromkeys(words)))
+    return np.unique(np.concatenate([own, grams]))
+
+
+def log_odds(seen: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of each row, from the documents that hold it by class (2, rows) and the documents by class."""
+    return np.diff(np.log((seen + 2) / (n[:, None] + 4)), axis=0)[0]
+
+
+def best_windows(words: list[str], odds: np.ndarray) -> tuple[list[int], list[float]]:
+    """Starts and values of the ``SAMPLE_WINDOWS`` windows with the highest log odds, in the text's order."""
+    if not words:
+        return [], []
+    at = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    own, grams, starts = odds_rows(list(at))
+    best = np.maximum(odds[own], np.maximum.reduceat(odds[grams], starts))[[at[w] for w in words]]
+    begins = np.array(windows(len(words)))
+    value = np.array([best[a:a + WINDOW].max() for a in begins])
+    kept = np.sort(np.argsort(-value, kind="stable")[:SAMPLE_WINDOWS])
+    return begins[kept].tolist(), value[kept].tolist()
+
+
 def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
-    """The fitted model (parameters and calibration), None without both classes."""
+    """The fitted model (parameters and calibration) of whole texts, None without both classes."""
+    docs, y = [tokens(t) for t in texts], np.array(labels)
+    seen = np.zeros((2, ODDS_ROWS + GRAM_ROWS))
+    for words, label in zip(docs, y):
+        seen[label, seen_rows(words)] += 1
+    odds = log_odds(seen, np.array([(y == 0).sum(), (y == 1).sum()]))
+    chosen = [best_windows(words, odds) for words in docs]
+    return train_windows([[d[a:a + WINDOW] for a in starts] for d, (starts, _) in zip(docs, chosen)], [v for _, v in chosen], labels, seed)
+
+
+def train_windows(docs: list[list[list[str]]], value: list[list[float]], labels: list[int], seed: int = 1) -> dict | None:
+    """The model fitted to the chosen windows of each document with their first values, None without both classes."""
     y = np.array(labels)
-    shared: dict[str, str] = {}
-    docs = [[shared.setdefault(w, w) for w in tokens(t)] for t in texts]  # one string a word
-    if not (y == 1).any() or not (y == 0).any():
+    if not (y == 1).any() or not (y == 0).any() or not any(docs):
         return None
+    shared: dict[str, str] = {}
+    docs = [[[shared.setdefault(w, w) for w in words] for words in found] for found in docs]  # one string a word
     rng = np.random.default_rng(seed)
-    # document frequencies of words and n-grams by class: log odds for the first choice of windows
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
-    if not vocabulary:
-        return None
-    rows, starts = gram_rows(list(vocabulary))
-    ends = np.append(starts, len(rows))[1:]
-    seen_w, seen_g = np.zeros((2, len(vocabulary))), np.zeros((2, GRAM_ROWS))
-    inside = [np.array(sorted({vocabulary[w] for w in d}), dtype=np.int64) for d in docs]
-    for ws, label in zip(inside, y):
-        seen_w[label, ws] += 1
-        if len(ws):
-            seen_g[label, np.unique(np.concatenate([rows[starts[i]:ends[i]] for i in ws]))] += 1
-    n = np.array([[(y == 0).sum()], [(y == 1).sum()]])
-    odds = lambda s: np.diff(np.log((s + 2) / (n + 4)), axis=0)[0]
-    best = np.maximum(odds(seen_w), np.maximum.reduceat(odds(seen_g)[rows], starts))
-    spans = [windows(len(d)) for d in docs]
-    value = [[float(best[[vocabulary[w] for w in d[a:a + WINDOW]]].max()) for a in s] for d, s in zip(docs, spans)]
-    spans = [sorted(sorted(s, key=lambda a, v=v, s=s: -v[s.index(a)])[:SAMPLE_WINDOWS]) if len(s) > SAMPLE_WINDOWS else s
-             for s, v in zip(spans, value)]
-    value = [[float(best[[vocabulary[w] for w in d[a:a + WINDOW]]].max()) for a in s] for d, s in zip(docs, spans)]
     net, moments = Network(seed), {}
     for turn in range(2):
         chosen, target = [], []
-        for d, s, v, label in zip(docs, spans, value, y):
-            if not s:
+        for found, v, label in zip(docs, value, y):
+            if not found:
                 continue
             picked = {int(np.argmax(v))}
             if label == 0:
-                picked |= set(rng.integers(0, len(s), 2).tolist())
-            chosen += [d[s[i]:s[i] + WINDOW] for i in sorted(picked)]
+                picked |= set(rng.integers(0, len(found), 2).tolist())
+            chosen += [found[i] for i in sorted(picked)]
             target += [label] * len(picked)
         target = np.array(target, np.float32)
         even = max(1.0, (target == 0).sum() / max(1, (target > 0).sum()) / 2)
         steps = max(STEPS[turn], EPOCHS[turn] * -(-len(chosen) // BATCH))
         _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), steps, rng, moments)
-        value = _score_windows(net, docs, spans)
+        value = _score_windows(net, docs)
     top = np.array([max(v) if v else -20.0 for v in value])
     a, b = 1.0, 0.0
     for _ in range(200):  # calibration: logistic regression on the document's highest logit
@@ -295,24 +321,23 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
     return {"p": {k: v.astype(np.float32) for k, v in net.p.items()}, "a": max(a, 0.1), "b": b}
 
 
-def _score_windows(net: Network, docs, spans) -> list[list[float]]:
-    found = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
+def _score_windows(net: Network, docs) -> list[list[float]]:
+    flat = [words for found in docs for words in found]
+    found = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(flat)))}
     if not found:
         return [[] for _ in docs]
     words = list(found)
     table = net.projected(np.concatenate([net.inputs(words[i:i + 20_000]) for i in range(0, len(words), 20_000)]))
-    flat = [(d, a) for d, s in zip(docs, spans) for a in s]
     out = []
     for lo in range(0, len(flat), BLOCK):
         part = flat[lo:lo + BLOCK]
         ids, mask = np.zeros((len(part), WINDOW), np.int64), np.zeros((len(part), WINDOW), np.float32)
-        for i, (d, a) in enumerate(part):
-            ws = d[a:a + WINDOW]
+        for i, ws in enumerate(part):
             ids[i, :len(ws)] = [found[w] for w in ws]
             mask[i, :len(ws)] = 1
         out += net.logits(ids, mask, table).tolist()
     done = iter(out)
-    return [[next(done) for _ in s] for s in spans]
+    return [[next(done) for _ in windows_] for windows_ in docs]
 
 
 class Scorer:
@@ -386,11 +411,34 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     order = F.xxhash64(F.lit("sample"), F.col("__id"))
     picked = [known.where(F.col("__toxic") == c).orderBy(order, "__id").limit(SAMPLE_PER_CLASS * (2 - c)) for c in (0, 1)]
     sample = picked[0].unionByName(picked[1])  # 3 * SAMPLE_PER_CLASS rows at most
-    rows = docs.select(F.col(key).alias("__id"), F.substring(text, 1, SAMPLE_CHARS).alias("text")).join(
-        F.broadcast(sample), "__id").dropDuplicates(["__id"])
-    rows = rows.where("text is not null").collect()
-    rows = sorted(rows, key=lambda r: (zlib.crc32(str(r["__id"]).encode()), r["__id"]))
-    return train([r.text for r in rows], [int(r["__toxic"]) for r in rows])
+    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("text")).join(F.broadcast(sample), "__id")
+    rows = saved(rows.dropDuplicates(["__id"]).where("text is not null").select(
+        F.col("__id").cast("string").alias("id"), F.col("__toxic").cast("int").alias("toxic"), "text"), "toxicity-sample")
+
+    def count(batches):
+        for batch in batches:
+            for toxic, body in zip(batch.column(1).to_pylist(), batch.column(2)):
+                held = np.append(seen_rows(tokens(body.as_py())), ODDS_ROWS + GRAM_ROWS)  # the last row counts documents
+                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(np.full(len(held), toxic, np.int32))], names=["row", "toxic"])
+
+    counted = rows.mapInArrow(count, "row bigint, toxic int").groupBy("row", "toxic").count().toArrow()
+    seen = np.zeros((2, ODDS_ROWS + GRAM_ROWS + 1))
+    seen[counted["toxic"].to_numpy(), counted["row"].to_numpy()] = counted["count"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(log_odds(seen[:, :-1], seen[:, -1]))  # about 2.6 MB, fixed
+
+    def choose(batches):
+        for batch in batches:
+            for i, body in enumerate(batch.column(2)):
+                words = tokens(body.as_py())
+                starts, value = best_windows(words, shared.value)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([value], pa.list_(pa.float64())),
+                    pa.array([[" ".join(words[a:a + WINDOW]) for a in starts]], pa.list_(pa.string()))],
+                    names=["id", "toxic", "value", "windows"])
+
+    found = rows.mapInArrow(choose, "id string, toxic int, value array<double>, windows array<string>").collect()
+    found = sorted(found, key=lambda r: (zlib.crc32(r["id"].encode()), r["id"]))
+    return train_windows([[w.split(" ") for w in r["windows"]] for r in found], [r["value"] for r in found], [r["toxic"] for r in found])
 
 
 def score_documents(docs: DataFrame, model: dict | None, text: str = "text", out: str = "__score") -> DataFrame:

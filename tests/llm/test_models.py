@@ -106,6 +106,19 @@ def test_half_a_window_lies_whole_in_some_window():
     assert toxicity.HIDDEN >= 12 and toxicity.ATTENTION >= 8
 
 
+def test_trains_on_passages_far_inside_long_texts(spark, docs_of):
+    rng = random.Random(31)
+
+    def far(toxic):  # clean for more than 20,000 characters, then marked words
+        words = [rng.choice(CLEAN) for _ in range(4600)]
+        return " ".join(words + toxic * ["zgub" + rng.choice(CLEAN) for _ in range(4)] + words[:40])
+    rows = [(i, far(i % 2)) for i in range(160)]
+    assert all(t.index("zgub") > 20_000 for i, t in rows if i % 2)
+    model = toxicity.fit(docs_of(rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    scores = toxicity.Scorer(model).scores([far(i % 2) for i in range(40)])
+    assert (scores[1::2, None] > scores[None, ::2]).mean() > .8
+
+
 def test_held_out_rows_are_never_trained_on(spark, docs_of):
     import zlib
     ids = range(200)
