@@ -8,11 +8,9 @@ key: a user holding a third of all ratings would otherwise sit in one
 partition and one task every epoch).  Each epoch joins them to a bias table —
 a broadcast while the table is small, otherwise a shuffle join whose hot
 partitions AQE splits — and aggregates with map-side partial sums, so only
-one row per key and task crosses the shuffle.  User biases are reliably
-checkpointed to the shared folder each epoch, item biases only cached for the
-half-step that reads them (and checkpointed after the last epoch); the cached
-ratings' lineage ends at a checkpoint too, so a lost executor costs at most
-half an epoch of recomputation.
+one row per key and task crosses the shuffle.  An epoch is one job that ends in
+the small table of user biases, written to the shared folder: a lost executor
+costs one epoch at most.
 """
 
 from __future__ import annotations
@@ -48,33 +46,23 @@ class BaselineModel(Model):
 
 
 def fit_baseline(train: DataFrame, roles: Roles = DEFAULT_ROLES, n_epochs: int = 10,
-                 reg_u: float = 15.0, reg_i: float = 10.0, scale=RATING_SCALE,
-                 checkpoint_every: int = 1) -> BaselineModel:
+                 reg_u: float = 15.0, reg_i: float = 10.0, scale=RATING_SCALE) -> BaselineModel:
     base = cut_lineage(triples(train, roles))
     mu, _, _ = global_stats(base)
-    # one cached copy, evenly partitioned; its lineage ends at the checkpoint above
-    by_u = by_i = base.persist()
+    rows = base.persist()
     bu = bi = None
     for epoch in range(n_epochs):
-        src = by_u if bu is None else by_u.join(bu, "u", "left")
+        src = rows if bu is None else rows.join(bu, "u", "left")
         dev_u = F.coalesce(F.col("bu"), F.lit(0.0)) if bu is not None else F.lit(0.0)
-        # item biases are only read by this epoch's user step: a cache is enough
-        # (a lost block is recomputed from the last checkpointed user biases)
-        bi = (src.groupBy("i")
-              .agg((F.sum(F.col("r") - F.lit(mu) - dev_u) /
-                    (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi"))).persist()
-        bu = cut_lineage(by_i.join(bi, "i", "left")
-                         .groupBy("u")
-                         .agg((F.sum(F.col("r") - F.lit(mu) - F.col("bi")) /
-                               (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu")))
+        bi = src.groupBy("i").agg((F.sum(F.col("r") - F.lit(mu) - dev_u) /
+                                   (F.lit(float(reg_i)) + F.count(F.lit(1)))).alias("bi"))
         if epoch == n_epochs - 1:
-            kept = cut_lineage(bi)
-            bi.unpersist()
-            bi = kept
-        else:
-            bi.unpersist()
+            bi = cut_lineage(bi)
+        bu = rows.join(bi, "i", "left").groupBy("u").agg((F.sum(F.col("r") - F.lit(mu) - F.col("bi")) /
+                                                          (F.lit(float(reg_u)) + F.count(F.lit(1)))).alias("bu"))
+        bu = cut_lineage(bu)
     if bi is None:  # zero epochs: all biases 0
         bi = cut_lineage(base.select("i").distinct().withColumn("bi", F.lit(0.0)))
         bu = cut_lineage(base.select("u").distinct().withColumn("bu", F.lit(0.0)))
-    base.unpersist()
+    rows.unpersist()
     return BaselineModel(mu, bu, bi, roles, scale)

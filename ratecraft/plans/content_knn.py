@@ -3,9 +3,9 @@
 For a target (u, i) the neighbours are the items j the user rated; the
 similarity of i and j comes from item content: either the product of the
 exponential closeness of several numeric features (M12, C10) or the cosine
-of per-item count vectors (M13, C11).  Only (target, history item) rows are
-built — the item × item matrix never is — and item features join in as a
-table with one row per item.  Top-k by similarity (ties to the smaller id),
+of sparse per-item count vectors (M13, C11), scored once for each distinct
+pair.  Only (target, history item) rows are built — the item × item matrix
+never is — and item features join in by item.  Top-k by similarity (ties to the smaller id),
 weighted mean over positive similarities, no neighbour → impossible.
 
 The reference keys its features by row id and so never finds them (Q2); this
@@ -17,8 +17,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ratecraft.functions.numeric import closeness, cosine
+from ratecraft.functions.numeric import closeness
 from ratecraft.operators.ranking import top_k_per_group
 from ratecraft.plans.base import DEFAULT_ROLES, Model, Roles, finish, global_stats, triples
 from ratecraft.plans.neighbours import SIM_DECIMALS
@@ -35,15 +36,50 @@ def item_features_mean(rows: DataFrame, item: str, cols: list[str]) -> DataFrame
     return rows.groupBy(F.col(item).alias("i")).agg(*[F.avg(c).alias(c) for c in cols])
 
 
-def item_count_vectors(rows: DataFrame, item: str, category: str, max_categories: int = 2000) -> DataFrame:
-    """One row per item: counts of each category value among its rows, as an
-    array in sorted-category order (category count checked)."""
-    cats = sorted(r[0] for r in rows.select(category).where(F.col(category).isNotNull())
-                  .distinct().limit(max_categories + 1).collect())
-    if len(cats) > max_categories:
-        raise ValueError(f"{category} has more than {max_categories} values")
-    counts = [F.count_if(F.col(category) == F.lit(c)).cast("double") for c in cats]
-    return rows.groupBy(F.col(item).alias("i")).agg(F.array(*counts).alias("vec"))
+def item_count_vectors(rows: DataFrame, item: str, category: str) -> DataFrame:
+    """Sparse count vectors (i, t, c): how often an item's rows have each category value, however many values there are."""
+    return (rows.where(F.col(category).isNotNull()).groupBy(F.col(item).alias("i"), F.col(category).alias("t"))
+            .agg(F.count(F.lit(1)).cast("double").alias("c")))
+
+
+def cosine_of_pairs(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(x, y, sim) of the pairs (x, y, distinct) whose sparse vectors (i, t, c) share a feature.
+
+    A pair is expanded from its vector with fewer features and looks the other's up
+    by (item, feature), a key that one row has; the norms are stored once an item.
+    """
+    sizes = vectors.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
+    named = lambda side: sizes.select(*[F.col(c).alias(f"{c}{side}") for c in ("i", "n", "norm")])
+    p = (pairs.join(named("x").withColumnRenamed("ix", "x"), "x").join(named("y").withColumnRenamed("iy", "y"), "y")
+         .where("normx > 0 and normy > 0"))
+    swap = F.col("ny") < F.col("nx")
+    p = p.select("x", "y", (F.col("normx") * F.col("normy")).alias("norms"), F.when(swap, F.col("y")).otherwise(F.col("x")).alias("a"),
+                 F.when(swap, F.col("x")).otherwise(F.col("y")).alias("b"))
+    met = (p.join(vectors.select(F.col("i").alias("a"), "t", F.col("c").alias("ca")), "a")
+           .join(vectors.select(F.col("i").alias("b"), "t", F.col("c").alias("cb")), ["b", "t"]))
+    return met.groupBy("x", "y").agg(F.round(F.sum(F.col("ca") * F.col("cb")) / F.first("norms"), SIM_DECIMALS).alias("sim"))
+
+
+def cosine_join(vectors: DataFrame, min_sim: float) -> DataFrame:
+    """(x, y, sim) of all pairs ``x < y`` of sparse vectors (i, t, c) with a cosine of ``min_sim`` or more, exact.
+
+    An inverted index over prefixes: features are ranked from rare to common; the
+    prefix of a vector ends where the rest of it is shorter than ``min_sim`` times the whole.  Two vectors
+    that are similar enough share their first common feature in both prefixes, so only prefixes are joined:
+    common features stay out of the index, and every pair found is scored once.
+    """
+    if not 0 < min_sim <= 1:
+        raise ValueError("min_sim must be above 0 and at most 1")
+    spread = vectors.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    v = vectors.where("c > 0").join(spread, "t")
+    rare_first = Window.partitionBy("i").orderBy("df", "t")
+    rest = F.sum(F.col("c") * F.col("c")).over(rare_first.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    whole = F.sum(F.col("c") * F.col("c")).over(Window.partitionBy("i"))
+    prefix = v.select("i", "t", rest.alias("rest"), whole.alias("whole")).where(
+        F.col("rest") >= F.lit(min_sim * min_sim * (1 - 1e-9)) * F.col("whole")).select("i", "t")
+    found = (prefix.select(F.col("i").alias("x"), "t").join(prefix.select(F.col("i").alias("y"), "t"), "t")
+             .where("x < y").select("x", "y").distinct())
+    return cosine_of_pairs(vectors, found).where(F.col("sim") >= min_sim - 10.0 ** -SIM_DECIMALS)
 
 
 class ContentKnnModel(Model):
@@ -53,29 +89,30 @@ class ContentKnnModel(Model):
         self.kind, self.cols, self.scale = kind, cols, scale
         self.users = r.select("u").distinct()
 
-    def _sim(self):
-        if self.kind == "closeness":
-            pairs = [(F.col(f"i_{c}"), F.col(f"j_{c}")) for c in self.cols]
-            sim = None
-            for a, b in pairs:
-                sim = closeness(a, b) if sim is None else sim * closeness(a, b)
-            return sim
-        return F.coalesce(cosine(F.col("i_vec"), F.col("j_vec")), F.lit(0.0))
+    def _closeness(self, hist: DataFrame) -> DataFrame:
+        fi = self.feats.select("i", *[F.col(c).alias(f"i_{c}") for c in self.cols])
+        fj = self.feats.select(F.col("i").alias("j"), *[F.col(c).alias(f"j_{c}") for c in self.cols])
+        sim = None
+        for c in self.cols:
+            near = closeness(F.col(f"i_{c}"), F.col(f"j_{c}"))
+            sim = near if sim is None else sim * near
+        return hist.join(fi, "i").join(fj, "j").withColumn("sim", F.round(sim, SIM_DECIMALS)).where(F.col("sim") > 0)
+
+    def _cosine(self, hist: DataFrame) -> DataFrame:
+        hist = hist.withColumns({"x": F.least("i", "j"), "y": F.greatest("i", "j")})
+        sims = cosine_of_pairs(self.feats, hist.select("x", "y").distinct())
+        return hist.join(sims.where(F.col("sim") > 0), ["x", "y"])
 
     def predict(self, targets: DataFrame) -> DataFrame:
         u, i = self.roles.user, self.roles.item
         cols = targets.columns
         tg = targets.select("RowID", F.col(u).alias("u"), F.col(i).alias("i"))
         hist = tg.join(self.r.select("u", F.col("i").alias("j"), F.col("r").alias("rj")), "u")
-        fcols = [c for c in self.feats.columns if c != "i"]
-        fi = self.feats.select("i", *[F.col(c).alias(f"i_{c}") for c in fcols])
-        fj = self.feats.select(F.col("i").alias("j"), *[F.col(c).alias(f"j_{c}") for c in fcols])
-        h = hist.join(fi, "i", "left").join(fj, "j", "left")
-        h = h.withColumn("sim", F.round(self._sim(), SIM_DECIMALS)).where(F.col("sim") > 0)
+        h = self._closeness(hist) if self.kind == "closeness" else self._cosine(hist)
         # positives rank ahead of the rest, so the filter before the top-k is exact
         top = top_k_per_group(h, "RowID", [F.desc("sim"), F.asc("j")], self.k)
         agg = top.groupBy("RowID").agg((F.sum(F.col("sim") * F.col("rj")) / F.sum("sim")).alias("est"))
-        known_i = self.feats.select("i").withColumn("known_i", F.lit(True))
+        known_i = self.feats.select("i").distinct().withColumn("known_i", F.lit(True))
         t = tg.join(agg, "RowID", "left").join(known_i, "i", "left")
         t = t.select("RowID", F.when(F.col("known_i"), F.col("est")).alias("est"))
         return finish(targets.select(*cols).join(t, "RowID", "left"), self.mu, self.scale)
@@ -84,8 +121,8 @@ class ContentKnnModel(Model):
 def fit_content_knn(train: DataFrame, item_feats: DataFrame, roles: Roles = DEFAULT_ROLES,
                     k: int = 40, kind: str = "closeness", cols: list[str] | None = None,
                     scale=RATING_SCALE) -> ContentKnnModel:
-    """M12 (kind='closeness', numeric ``cols``) / M13 (kind='cosine', a ``vec`` column).
-    ``item_feats`` has one row per item in column ``i``."""
+    """M12 (kind='closeness', one row an item ``i`` with the numeric ``cols``) / M13 (kind='cosine', sparse
+    vectors i, t, c)."""
     r = cut_lineage(triples(train, roles))
     mu, _, _ = global_stats(r)
     feats = cut_lineage(item_feats)

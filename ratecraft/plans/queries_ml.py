@@ -14,22 +14,26 @@ from pyspark.sql import functions as F
 from ratecraft.operators.columns import SCALED_COLS, beer_context, consumer_context
 from ratecraft.operators.corpus import prepare_text
 from ratecraft.operators.joins import ensemble_frame, join_predictions
+from ratecraft.plans import cocluster as cc
+from ratecraft.plans import factors
+from ratecraft.plans import onepass as op
 from ratecraft.plans import oracle_sql as q
+from ratecraft.plans.base import clip
 from ratecraft.plans.baseline import fit_baseline
 from ratecraft.plans.catalog import query
 from ratecraft.plans.cocluster import fit_coclustering
 from ratecraft.plans.ensemble import long_predictions, model_report as report, run_concurrently, stack
 from ratecraft.plans.evaluate import mae_value
-from ratecraft.plans.factorization import fit_implicit, fit_nmf, fit_normal, fit_svd, fit_svdpp
+from ratecraft.plans.factorization import als_folds, fit_implicit, fit_nmf, fit_normal, fit_svd, fit_svdpp
 from ratecraft.plans.features import encoded_features
 from ratecraft.plans.neighbours import fit_knn, fit_slope_one
 from ratecraft.plans.queries_core import _baseline_sql, r6
 from ratecraft.plans.queries_models import _BASE
-from ratecraft.plans.regression import fit_gbt, fit_lasso, fit_linear
+from ratecraft.plans.gram import cross_products, cross_validated_path, fit_lasso, fit_linear
+from ratecraft.plans.regression import fit_gbt
 from ratecraft.plans.text_models import (doc_vectors, fit_text_classifier, fit_word2vec,
                                          predict_text_classifier)
-from ratecraft.plans.tuning import (ablation, bake_off, cross_validate, grid_search,
-                                    random_search)
+from ratecraft.plans.tuning import ablation, random_search, with_folds
 from ratecraft.session import cut_lineage, scratch_path
 from ratecraft.sources import files as fs
 from ratecraft.sources import ratings as rt
@@ -78,10 +82,17 @@ def nmf_predict(spark, sf):
     return _pred_out(fit_nmf(_split(t, "train")).predict(_targets(t)))
 
 
-@query("coclustering_predict")
+@query("coclustering_predict", sql=q.with_ctes(q.RATINGS_CTE, *q.cocluster_ctes(20)) + """
+SELECT t.RowID, t.split, round(least(greatest(CASE WHEN u.u IS NOT NULL AND i.i IS NOT NULL
+         THEN coalesce(co20.m, mu) + um.mu_u - coalesce(au20.m, mu) + im.mu_i - coalesce(ai20.m, mu)
+         ELSE coalesce(um.mu_u, im.mu_i, mu) END, 0.0), 5.0) + 1e-10, 6) AS est, false AS was_impossible
+FROM ratings t CROSS JOIN cmu LEFT JOIN cu20 u ON u.u = t.BeerID LEFT JOIN ci20 i ON i.i = t.ReviewerID
+LEFT JOIN cum um ON um.u = t.BeerID LEFT JOIN cim im ON im.i = t.ReviewerID LEFT JOIN co20 ON co20.cu = u.cu AND co20.ci = i.ci
+LEFT JOIN au20 ON au20.cu = u.cu LEFT JOIN ai20 ON ai20.ci = i.ci WHERE t.split <> 'train'""")
 def coclustering_predict(spark, sf):
+    """20 epochs from clusters by id modulo 3."""
     t = cut_lineage(rt.rating_triples(spark, sf))
-    return _pred_out(fit_coclustering(_split(t, "train")).predict(_targets(t)))
+    return _pred_out(fit_coclustering(_split(t, "train"), seed=None).predict(_targets(t)))
 
 
 @query("implicit_scores")
@@ -117,8 +128,14 @@ def gbt_importances(spark, sf):
     return fit_gbt(_split(e, "train"), _feature_cols(e), max_iter=20, max_depth=4).importances()
 
 
-@query("linreg_predict")
+_LINEAR_SQL = q.with_ctes(q.ENGINEERED_CTE, *q.least_squares_ctes(q.SCALED, ["BeerType", "Gender"])).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("linreg_predict", sql=_LINEAR_SQL + """
+SELECT e.RowID, e.split, round(least(greatest(p.est, 0.0), 5.0) + 1e-10, 6) AS est
+FROM eng e JOIN lm_p p ON p.RowID = e.RowID WHERE e.split <> 'train'""")
 def linreg_predict(spark, sf):
+    """Least squares by cross products over the numeric and category columns."""
     e = _eng(spark, sf)
     model = fit_linear(_split(e, "train"), _feature_cols(e))
     p = model.predict(e.where(F.col("split") != "train").select("RowID", "split", "rating", *_feature_cols(e)))
@@ -127,12 +144,22 @@ def linreg_predict(spark, sf):
 
 @query("lasso_predict")
 def lasso_predict(spark, sf):
+    """The lasso by coordinate descent on the cross products."""
     e = _eng(spark, sf)
-    model = fit_lasso(_split(e, "train"), _feature_cols(e), reg=0.01)
+    model = fit_lasso(_split(e, "train"), _feature_cols(e), alpha=0.01)
     p = model.predict(e.where(F.col("split") != "train").select("RowID", "split", "rating", *_feature_cols(e)))
     return p.select("RowID", "split", r6("est").alias("est"))
 
 
+@query("lasso_path_cv")
+def lasso_path_cv(spark, sf):
+    """A penalty path of the lasso, 5-fold CV from the folds' cross products (the rows are read once)."""
+    e = with_folds(_split(_eng(spark, sf), "train"), 5)
+    path = cross_validated_path(cross_products(e, _feature_cols(e), fold="fold"), [10.0 ** k for k in range(-4, 2)])
+    return spark.createDataFrame(path, "alpha double, mean_mse double, std_mse double, n_used int").select(
+        "alpha", r6("mean_mse").alias("mean_mse"), r6("std_mse").alias("std_mse"), "n_used")
+
+
 @query("feature_ablation")
 def feature_ablation(spark, sf):
     e = _eng(spark, sf)
@@ -274,38 +301,120 @@ def ensemble_test_run(spark, sf):
 
 
 # ---------------------------------------------------------------- M26–M29
-def _train_triples(spark, sf):
-    return cut_lineage(_split(rt.rating_triples(spark, sf), "train"))
+def _train(spark, sf):
+    return _split(rt.rating_triples(spark, sf), "train")
 
 
 @query("baseline_cv", sql=q.with_ctes(q.RATINGS_CTE, *q.cv_baseline_ctes(5, 10, 15.0, 10.0)) + """
 SELECT fold::int AS fold, round(mae + 1e-10, 6) AS mae, n FROM cv""")
 def baseline_cv(spark, sf):
-    """5-fold CV of the baseline."""
-    cv = cross_validate(_train_triples(spark, sf), fit_baseline, k=5)
-    return cv.select("fold", r6("mae").alias("mae"), "n")
+    """5-fold CV of the baseline, all folds in the same jobs."""
+    d = op.fold_rows(_train(spark, sf), 5)
+    return op.scores(d, {"baseline": op.baselines(d).estimates()}).select("fold", r6("mae").alias("mae"), "n")
+
+
+def bake_off_estimates(d) -> dict:
+    """The estimates (row, est) of all eleven algorithms for every row in its fold; independent ones run beside each other."""
+    bias = op.baselines(d)
+    r = cut_lineage(op.stacked(d))
+    tests = op.tests(d)
+
+    def neighbours():
+        return cut_lineage(op.knn_estimates(d, op.knn_top(d), ("basic", "means", "zscore", "baseline"), bias=bias))
+
+    def coclustering():
+        return cc.estimates(tests, cc.cocluster(r, 3, 3, 20, 42), 3, 3)
+
+    def svdpp():
+        users, items, mu = factors.descend(r, 10, 20, reg=0.2)
+        return factors.estimates(tests, users, items, mu, 10)
+
+    done = run_concurrently({
+        "normal": lambda: op.normal(d), "slope_one": lambda: op.slope_one(d), "neighbours": neighbours,
+        "coclustering": coclustering, "svdpp": svdpp, "svd": lambda: als_folds(d, r, tests, 30, 0.1, 10, bias),
+        "nmf": lambda: als_folds(d, r, tests, 15, 0.06, 15, None)}, max_workers=7)
+    near = done.pop("neighbours")
+    out = {name: e.select("row", clip(F.col("est")).alias("est")) for name, e in done.items()}
+    out["baseline"] = bias.estimates().select("row", "est")
+    return out | {f"knn_{kind}": near.where(F.col("kind") == kind).select("row", "est") for kind in ("basic", "means", "zscore", "baseline")}
 
 
 @query("algorithm_bake_off")
 def algorithm_bake_off(spark, sf):
-    """Several algorithms under the same 3 folds."""
-    algos = {"normal": fit_normal, "baseline": fit_baseline, "slope_one": fit_slope_one,
-             "knn_means": lambda d: fit_knn(d, "means"), "coclustering": lambda d: fit_coclustering(d, n_epochs=5)}
-    return bake_off(_train_triples(spark, sf), algos, k=3).select(
+    """The eleven algorithms under the same 5 folds, each fitted for all folds at once."""
+    d = op.fold_rows(_train(spark, sf), 5)
+    return op.summary(op.scores(d, bake_off_estimates(d))).select(
         "algorithm", r6("mean_mae").alias("mean_mae"), r6("std_mae").alias("std_mae"))
 
 
-_GRID = {"reg_u": [4.0, 15.0], "reg_i": [8.0, 10.0], "n_epochs": [10]}
+@query("exact_bake_off", sql=q.with_ctes(q.RATINGS_CTE, *q.cv_baseline_ctes(5, 10, 15.0, 10.0), *q.cv_bake_off_ctes(5)) + """
+SELECT algorithm, round(avg(mae) + 1e-10, 6) AS mean_mae, round(stddev_pop(mae) + 1e-10, 6) AS std_mae FROM maes GROUP BY algorithm""")
+def exact_bake_off(spark, sf):
+    """The algorithms of the bake-off without a start by chance (M1 to M6, M10) under its 5 folds."""
+    d = op.fold_rows(_train(spark, sf), 5)
+    bias, kinds = op.baselines(d), ("basic", "means", "zscore", "baseline")
+    near = cut_lineage(op.knn_estimates(d, op.knn_top(d), kinds, bias=bias))
+    out = {"normal": op.normal(d), "baseline": bias.estimates().select("row", "est"), "slope_one": op.slope_one(d)}
+    out |= {f"knn_{kind}": near.where(F.col("kind") == kind).select("row", "est") for kind in kinds}
+    return op.summary(op.scores(d, out)).select("algorithm", r6("mean_mae").alias("mean_mae"), r6("std_mae").alias("std_mae"))
+
+
+_GRID = {"reg_u": [4.0, 15.0], "reg_i": [8.0, 10.0], "n_epochs": [5, 10]}
 
 
-@query("baseline_grid_search", sql=q.with_ctes(q.RATINGS_CTE, *[c for a in _GRID["reg_u"] for b in _GRID["reg_i"]
-                                                                for c in q.cv_baseline_ctes(3, 10, a, b, f"g{int(a)}_{int(b)}_")]) + " UNION ALL ".join(
-    f"SELECT 'n_epochs=10,reg_i={b},reg_u={a}' AS params, round(avg(mae) + 1e-10, 6) AS mean_mae FROM g{int(a)}_{int(b)}_cv"
-    for a in _GRID["reg_u"] for b in _GRID["reg_i"]))
+def _grid_scores(d, estimates, settings):
+    """(params, mean_mae) of estimates (row, setting, est)."""
+    text = F.element_at(F.array(*[F.lit(op.params_text(s)) for s in settings]), F.col("setting") + 1)
+    per_fold = (estimates.join(d.rows.select("row", "fold", "r"), "row").groupBy("setting", "fold")
+                .agg(F.avg(F.abs(F.col("r") - F.col("est"))).alias("mae")))
+    return per_fold.groupBy("setting").agg(F.avg("mae").alias("mean_mae")).select(text.alias("params"), r6("mean_mae").alias("mean_mae"))
+
+
+@query("baseline_grid_search", sql=q.with_ctes(q.RATINGS_CTE, *[c for s in op.combinations(_GRID) for c in q.cv_baseline_ctes(
+    3, s["n_epochs"], s["reg_u"], s["reg_i"], q.setting_prefix(s))]) + " UNION ALL ".join(
+    f"SELECT '{op.params_text(s)}' AS params, round(avg(mae) + 1e-10, 6) AS mean_mae FROM {q.setting_prefix(s)}cv"
+    for s in op.combinations(_GRID)))
 def baseline_grid_search(spark, sf):
-    """Grid over the ALS baseline's regularisation, 3-fold CV."""
-    g = grid_search(_train_triples(spark, sf), lambda **p: (lambda d: fit_baseline(d, **p)), _GRID, k=3)
-    return g.select("params", r6("mean_mae").alias("mean_mae"))
+    """Grid over the ALS baseline's epochs and regularisation, 3-fold CV, all models in the same jobs."""
+    d, settings = op.fold_rows(_train(spark, sf), 3), op.combinations(_GRID)
+    return _grid_scores(d, op.baselines(d, settings).estimates(), settings)
+
+
+#: The neighbour grid that is searched.
+_KNN_GRID = {"k": [10, 20, 40, 60], "min_k": [1, 2], "min_support": [1, 2]}
+
+
+@query("knn_grid_search", sql=q.with_ctes(q.RATINGS_CTE, *q.cv_knn_ctes(5, _KNN_GRID["min_support"], 60)) + " UNION ALL ".join(
+    f"SELECT '{op.params_text(s)}' AS params, round(avg(mae) + 1e-10, 6) AS mean_mae FROM ({q.cv_knn_mae('means', **s)})"
+    for s in op.combinations(_KNN_GRID)))
+def knn_grid_search(spark, sf):
+    """Grid over k, min_k and min_support of the neighbour model with means, 5-fold CV, one table of neighbours."""
+    d, settings = op.fold_rows(_train(spark, sf), 5), op.combinations(_KNN_GRID)
+    top = op.knn_top(d, k=max(_KNN_GRID["k"]), min_supports=_KNN_GRID["min_support"])
+    return _grid_scores(d, op.knn_estimates(d, top, ("means",), settings), settings)
+
+
+#: The factor grid that is searched.
+_SVD_GRID = {"lr": [0.01, 0.05, 0.005], "reg": [0.4, 0.2, 0.01]}
+_SVD_EPOCHS = (5, 10)
+
+
+@query("svd_grid_search")
+def svd_grid_search(spark, sf):
+    """Grid over epochs, learning rate and penalty of the biased factor model, 3-fold CV; the models of all
+    settings and folds move in the same jobs, those of fewer epochs are the states on the way."""
+    d, settings = op.fold_rows(_train(spark, sf), 3), op.combinations(_SVD_GRID)
+    n, out = len(settings), []
+
+    def keep(epoch, users, items):
+        if epoch in _SVD_EPOCHS:
+            est = factors.estimates(op.tests(d, n), users, items, [d.mu[g // n] for g in range(d.k * n)], 10)
+            out.append(est.select("row", (F.col("g") % n + len(out) * n).alias("setting"), clip(F.col("est")).alias("est")))
+
+    factors.descend(op.stacked(d, n), 10, max(_SVD_EPOCHS), lr=[s["lr"] for s in settings] * d.k,
+                    reg=[s["reg"] for s in settings] * d.k, implicit=False, each=keep)
+    named = [{"n_epochs": e} | s for e in _SVD_EPOCHS for s in settings]
+    return _grid_scores(d, out[0].unionByName(out[1]), named)
 
 
 @query("gbt_random_search")

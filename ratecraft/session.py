@@ -1,7 +1,7 @@
 """Session construction and the shared scratch / checkpoint folder.
 
-Lineage is cut with ``DataFrame.checkpoint()`` (reliable, written to the
-folder named by ``spark.checkpoint.dir``), never with ``localCheckpoint``.
+Lineage is cut with Parquet tables written to the folder named by
+``spark.checkpoint.dir``, never with ``localCheckpoint``.
 The folder is read from the running session; only a local-mode session
 without one gets a private folder, as in tests.
 """
@@ -69,50 +69,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ratecraft-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ratecraft-{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint to the shared folder.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back.
 
-    The input is persisted for the duration of the checkpoint: the checkpoint
-    write is a second job over the same RDD, and without the cache it would
-    recompute the whole input.  Reads afterwards come from the checkpoint
-    files, so the cache is released straight away.
-    """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=eager)
-    if eager:
-        cached.unpersist()
-    return out
-
-
-class EpochState:
-    """State tables of an iterative fit.
-
-    Each epoch's tables are persisted (a lost block is recomputed from the
-    short lineage back to the last checkpoint); every ``every`` epochs, and at
-    the end, they are checkpointed reliably to the shared folder and the
-    superseded caches are released.  Keep ``every`` small: a chain of cached
-    adaptive plans nests each level's initial and final plan, so plan
-    descriptions grow exponentially with the number of cached epochs.
+    One job; later reads are pruned to the columns they use, and their
+    measured size decides about broadcasts.  The table stays until
+    ``drop_snapshots``: any later query may still read it.
     """
+    spark = df.sparkSession
+    path = scratch_path(spark, "snapshot")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
-    def __init__(self, every: int = 1):
-        self.every = max(1, every)
-        self.cached: list[DataFrame] = []
-
-    def step(self, tables: dict, epoch: int, last: bool = False) -> dict:
-        if (epoch + 1) % self.every == 0 or last:
-            out = {k: cut_lineage(v) for k, v in tables.items()}
-            for c in self.cached:
-                c.unpersist()
-            self.cached = []
-            return out
-        out = {k: v.persist() for k, v in tables.items()}
-        self.cached.extend(out.values())
-        return out
+def drop_snapshots(spark: SparkSession) -> None:
+    """Deletes every table this application wrote to the shared folder; call it when its results are consumed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

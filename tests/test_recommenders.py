@@ -100,7 +100,7 @@ def test_properties_on_driver_data(spark):
     b = fit_normal(tr, seed=7).predict(tg).orderBy("RowID").collect()
     assert [r["est"] for r in a] == [r["est"] for r in b]  # same seed → same draws
     cc = fit_coclustering(tr, n_epochs=2)
-    assert {r["cu"] for r in cc.cu.collect()} <= {0, 1, 2}
+    assert {r["cu"] for r in cc.fitted[0].collect()} <= {0, 1, 2}
     nmf = fit_nmf(tr, max_iter=3)
     assert nmf.als.userFactors.selectExpr("min(array_min(features)) AS m").first()["m"] >= 0.0
 
