@@ -13,7 +13,7 @@ windows of its whole text.  Which window of a toxic
 document is the toxic one is not labelled: the first choice follows the log
 odds of its words and n-grams, the second the network's own scores.  Log odds are
 taken from counts by hashed row (a fixed number of rows) and windows are
-chosen in tasks; only the chosen windows are collected.  Scoring
+chosen in tasks; only the chosen windows are collected, as word numbers.  Scoring
 reads every window of every text.
 
 Edge cases: null and empty texts (no word) get score 0; a null key is not held
@@ -67,7 +67,7 @@ def gram_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros(len(codes), np.uint64)
     for n in range(1, 6):
         h = h * np.uint64(0x100000001B3)
-        h[:len(codes) - n + 1] += codes[n - 1:]
+        h[:max(0, len(codes) - n + 1)] += codes[n - 1:]
         if n >= 3:
             fits = left >= n
             x = (h[fits] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
@@ -214,24 +214,49 @@ class Network:
         return loss, g
 
 
-def _batch(chosen: list[list[str]]):
-    """Ids, mask and the distinct words of windows of words."""
-    found: dict[str, int] = {}
-    ids = np.zeros((len(chosen), WINDOW), np.int64)
-    mask = np.zeros((len(chosen), WINDOW), np.float32)
-    for i, words in enumerate(chosen):
-        ids[i, :len(words)] = [found.setdefault(w, len(found)) for w in words]
-        mask[i, :len(words)] = 1
-    return ids, mask, list(found)
+class Windows:
+    """Windows of words of many documents, as numbers of words in one list.
 
+    ``words[cuts[k]:cuts[k + 1]]`` are the word numbers of window ``k``; document ``d`` has the windows
+    ``ends[d - 1]..ends[d]``, ``value[k]`` is what window ``k`` was chosen by.
+    """
 
-def _fit(net: Network, chosen, y, weight, steps: int, rng, moments: dict) -> None:
+    def __init__(self, vocabulary: list[str], words: np.ndarray, sizes: np.ndarray, counts: np.ndarray, value: np.ndarray):
+        self.vocabulary, self.words, self.value = vocabulary, words.astype(np.int32), value
+        self.cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.ends = np.cumsum(counts).astype(np.int64)
+        self.counts = np.asarray(counts, np.int64)
+
+    @classmethod
+    def of(cls, docs: list[list[list[str]]], value: list[list[float]] | None = None) -> Windows:
+        numbers: dict[str, int] = {}
+        words = [numbers.setdefault(w, len(numbers)) for found in docs for ws in found for w in ws]
+        sizes = [len(ws) for found in docs for ws in found]
+        flat = [v for found in value for v in found] if value else np.zeros(len(sizes))
+        return cls(list(numbers), np.array(words, np.int32), np.array(sizes, np.int64), np.array([len(f) for f in docs], np.int64),
+                   np.array(flat, np.float64))
+
+    def filled(self, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers and mask of some windows, a row each."""
+        at = self.cuts[picks][:, None] + np.arange(WINDOW)
+        mask = at < self.cuts[np.asarray(picks) + 1][:, None]
+        return np.where(mask, self.words[np.minimum(at, len(self.words) - 1)], 0).astype(np.int64), mask.astype(np.float32)
+
+    def batch(self, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Ids, mask and the distinct words of some windows."""
+        ids, mask = self.filled(picks)
+        found, within = np.unique(ids[mask > 0], return_inverse=True)
+        ids[mask > 0] = within
+        return ids, mask, [self.vocabulary[i] for i in found]
+
+
+def _fit(net: Network, windows_: Windows, chosen: np.ndarray, y, weight, steps: int, rng, moments: dict) -> None:
     while steps > 0:
         order = rng.permutation(len(chosen))
         for lo in range(0, min(len(order), steps * BATCH), BATCH):
             steps -= 1
             pick = order[lo:lo + BATCH]
-            ids, mask, words = _batch([chosen[i] for i in pick])
+            ids, mask, words = windows_.batch(chosen[pick])
             rows, starts = gram_rows(words)
             _, g = net.gradients(ids, mask, np.array([word_row(w) for w in words]), rows, starts, y[pick], weight[pick])
             moments["t"] = moments.get("t", 0) + 1
@@ -283,34 +308,33 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> dict | None:
         seen[label, seen_rows(words)] += 1
     odds = log_odds(seen, np.array([(y == 0).sum(), (y == 1).sum()]))
     chosen = [best_windows(words, odds) for words in docs]
-    return train_windows([[d[a:a + WINDOW] for a in starts] for d, (starts, _) in zip(docs, chosen)], [v for _, v in chosen], labels, seed)
+    return train_windows(Windows.of([[d[a:a + WINDOW] for a in starts] for d, (starts, _) in zip(docs, chosen)], [v for _, v in chosen]),
+                         labels, seed)
 
 
-def train_windows(docs: list[list[list[str]]], value: list[list[float]], labels: list[int], seed: int = 1) -> dict | None:
+def train_windows(found: Windows, labels: list[int], seed: int = 1) -> dict | None:
     """The model fitted to the chosen windows of each document with their first values, None without both classes."""
     y = np.array(labels)
-    if not (y == 1).any() or not (y == 0).any() or not any(docs):
+    if not (y == 1).any() or not (y == 0).any() or not len(found.words):
         return None
-    shared: dict[str, str] = {}
-    docs = [[[shared.setdefault(w, w) for w in words] for words in found] for found in docs]  # one string a word
     rng = np.random.default_rng(seed)
-    net, moments = Network(seed), {}
+    net, moments, value = Network(seed), {}, found.value
     for turn in range(2):
         chosen, target = [], []
-        for found, v, label in zip(docs, value, y):
-            if not found:
+        for end, n, label in zip(found.ends, found.counts, y):
+            if not n:
                 continue
-            picked = {int(np.argmax(v))}
+            picked = {int(np.argmax(value[end - n:end]))}
             if label == 0:
-                picked |= set(rng.integers(0, len(found), 2).tolist())
-            chosen += [found[i] for i in sorted(picked)]
+                picked |= set(rng.integers(0, n, 2).tolist())
+            chosen += [end - n + i for i in sorted(picked)]
             target += [label] * len(picked)
         target = np.array(target, np.float32)
         even = max(1.0, (target == 0).sum() / max(1, (target > 0).sum()) / 2)
         steps = max(STEPS[turn], EPOCHS[turn] * -(-len(chosen) // BATCH))
-        _fit(net, chosen, target, np.where(target > 0, even, 1.0).astype(np.float32), steps, rng, moments)
-        value = _score_windows(net, docs)
-    top = np.array([max(v) if v else -20.0 for v in value])
+        _fit(net, found, np.array(chosen), target, np.where(target > 0, even, 1.0).astype(np.float32), steps, rng, moments)
+        value = _score_windows(net, found)
+    top = np.array([value[end - n:end].max() if n else -20.0 for end, n in zip(found.ends, found.counts)])
     a, b = 1.0, 0.0
     for _ in range(200):  # calibration: logistic regression on the document's highest logit
         p = sigmoid(a * top + b)
@@ -321,23 +345,15 @@ def train_windows(docs: list[list[list[str]]], value: list[list[float]], labels:
     return {"p": {k: v.astype(np.float32) for k, v in net.p.items()}, "a": max(a, 0.1), "b": b}
 
 
-def _score_windows(net: Network, docs) -> list[list[float]]:
-    flat = [words for found in docs for words in found]
-    found = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(flat)))}
-    if not found:
-        return [[] for _ in docs]
-    words = list(found)
+def _score_windows(net: Network, found: Windows) -> np.ndarray:
+    """The network's logit of every window."""
+    words = found.vocabulary
     table = net.projected(np.concatenate([net.inputs(words[i:i + 20_000]) for i in range(0, len(words), 20_000)]))
-    out = []
-    for lo in range(0, len(flat), BLOCK):
-        part = flat[lo:lo + BLOCK]
-        ids, mask = np.zeros((len(part), WINDOW), np.int64), np.zeros((len(part), WINDOW), np.float32)
-        for i, ws in enumerate(part):
-            ids[i, :len(ws)] = [found[w] for w in ws]
-            mask[i, :len(ws)] = 1
-        out += net.logits(ids, mask, table).tolist()
-    done = iter(out)
-    return [[next(done) for _ in windows_] for windows_ in docs]
+    out = np.empty(len(found.cuts) - 1)
+    for lo in range(0, len(out), BLOCK):
+        ids, mask = found.filled(np.arange(lo, min(lo + BLOCK, len(out))))
+        out[lo:lo + BLOCK] = net.logits(ids, mask, table)
+    return out
 
 
 class Scorer:
@@ -427,18 +443,40 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast(log_odds(seen[:, :-1], seen[:, -1]))  # about 2.6 MB, fixed
 
     def choose(batches):
+        """Of each text its distinct words in the chosen windows, and the windows as numbers of these."""
         for batch in batches:
             for i, body in enumerate(batch.column(2)):
                 words = tokens(body.as_py())
                 starts, value = best_windows(words, shared.value)
+                numbers: dict[str, int] = {}
+                ids = [numbers.setdefault(w, len(numbers)) for a in starts for w in words[a:a + WINDOW]]
+                sizes = [len(words[a:a + WINDOW]) for a in starts]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([value], pa.list_(pa.float64())),
-                    pa.array([[" ".join(words[a:a + WINDOW]) for a in starts]], pa.list_(pa.string()))],
-                    names=["id", "toxic", "value", "windows"])
-
-    found = rows.mapInArrow(choose, "id string, toxic int, value array<double>, windows array<string>").collect()
-    found = sorted(found, key=lambda r: (zlib.crc32(r["id"].encode()), r["id"]))
-    return train_windows([[w.split(" ") for w in r["windows"]] for r in found], [r["value"] for r in found], [r["toxic"] for r in found])
+                    pa.array([list(numbers)], pa.list_(pa.string())), pa.array([ids], pa.list_(pa.int32())),
+                    pa.array([sizes], pa.list_(pa.int32()))], names=["id", "toxic", "value", "words", "ids", "sizes"])
+
+    found = rows.mapInArrow(choose, "id string, toxic int, value array<double>, words array<string>, ids array<int>, sizes array<int>").toArrow()
+    ids = found.column("id").to_pylist()
+    found = found.take(pa.array(sorted(range(len(ids)), key=lambda i: (zlib.crc32(ids[i].encode()), ids[i])), pa.int64())).combine_chunks()
+    labels = found.column("toxic").to_pylist()
+    windows_ = gathered(found)
+    del found, ids
+    return train_windows(windows_, labels)
+
+
+def gathered(found: pa.Table) -> Windows:
+    """The windows of collected rows (value, words, ids, sizes): every distinct word once, all else as numbers."""
+    lists = {c: pa.concat_arrays(found.column(c).chunks) if found.num_rows else pa.array([], found.schema.field(c).type)
+             for c in ("value", "words", "ids", "sizes")}
+    flat = {c: x.flatten() for c, x in lists.items()}
+    lengths = {c: x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) for c, x in lists.items()}
+    coded = flat["words"].dictionary_encode()
+    of_words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(lengths["words"]) - lengths["words"]  # of each document's words
+    words = of_words[np.repeat(begins, lengths["ids"]) + flat["ids"].to_numpy(zero_copy_only=False)]
+    return Windows(coded.dictionary.to_pylist(), words, flat["sizes"].to_numpy(zero_copy_only=False), lengths["sizes"],
+                   flat["value"].to_numpy(zero_copy_only=False).astype(np.float64))
 
 
 def score_documents(docs: DataFrame, model: dict | None, text: str = "text", out: str = "__score") -> DataFrame:

@@ -15,28 +15,36 @@ CLEAN = ["".join(RNG.choice("aeioulmnrst") for _ in range(RNG.randint(2, 8))) fo
 
 
 # ------------------------------------------------------------------ op1
-def test_gradients_match_differences():
-    net = toxicity.Network(3)
-    words = [["one", "two", "three"], ["four", "two"], ["five"] * 5]
-    ids, mask, found = toxicity._batch(words)
-    rows, starts = toxicity.gram_rows(found)
-    rng = np.random.default_rng(0)
-    net.p = {k: (v.astype(np.float64) + rng.normal(0, .05, v.shape)) for k, v in net.p.items()}
-    y, weight = np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 1.0])
-    at = np.array([toxicity.word_row(w) for w in found])
-    loss = lambda: net.gradients(ids, mask, at, rows, starts, y, weight)[0]
-    _, grads = net.gradients(ids, mask, at, rows, starts, y, weight)
-    for name in ("Wf", "Uf", "Ub", "cb", "A", "v", "w", "b", "words", "grams"):
-        flat = np.abs(grads[name]).ravel()
-        for k in np.argsort(-flat)[:3]:
-            place = np.unravel_index(k, grads[name].shape)
-            old, step = net.p[name][place], 2e-2
-            net.p[name][place] = old + step
-            up = loss()
-            net.p[name][place] = old - step
-            down = loss()
-            net.p[name][place] = old
-            assert (up - down) / (2 * step) == pytest.approx(grads[name][place], rel=.08, abs=2e-4), name
+def plain_logit(net, words):
+    """The logit of one window, step by step."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x = []
+    for w in words:
+        rows, _ = toxicity.gram_rows([w])
+        x.append(np.concatenate([p["words"][toxicity.word_row(w)], p["grams"][rows].max(axis=0)]))
+    states = []
+    for side, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h, seen = np.zeros(toxicity.HIDDEN), {}
+        for t in order:
+            wz, wr, wn = np.split(x[t] @ p[f"W{side}"] + p[f"c{side}"], 3)
+            uz, ur, un = np.split(h @ p[f"U{side}"], 3)
+            z, r = 1 / (1 + np.exp(-wz - uz)), 1 / (1 + np.exp(-wr - ur))
+            h = z * h + (1 - z) * np.tanh(wn + r * un)
+            seen[t] = h
+        states.append([seen[t] for t in range(len(x))])
+    both = [np.concatenate(pair) for pair in zip(*states)]
+    pull = np.array([np.tanh(h @ p["A"] + p["a"]) @ p["v"] for h in both])
+    share = np.exp(pull - pull.max())
+    return float(sum(s * h for s, h in zip(share / share.sum(), both)) @ p["w"] + p["b"][0])
+
+
+def test_logits_match_a_plain_forward_pass():
+    net = toxicity.Network(5)
+    docs = [[["one", "two", "three", "two"], ["four"]], [], [["five"] * 5 + ["é"] * 27]]
+    found = toxicity.Windows.of(docs)
+    got = toxicity._score_windows(net, found)
+    assert found.counts.tolist() == [2, 0, 1]
+    assert got == pytest.approx([plain_logit(net, w) for d in docs for w in d], abs=1e-4)
 
 
 def labelled(rng, n, share=.3):
@@ -62,6 +70,7 @@ def test_learns_marked_words_and_scores_whole_texts(spark, docs_of):
     far = " ".join(["rain"] * 70_000 + ["zgubrain"] * 3)  # only the last of many windows is toxic
     one = " ".join(["rain"] * 29 + ["zgubrain"] * 3)
     assert scorer.scores([far])[0] == pytest.approx(scorer.scores([one])[0], abs=.05)
+    assert toxicity.Scorer(model).scores(["a"])[0] >= 0  # one short word in the whole batch
     rows = [(1, None), (2, ""), (3, " !? "), (None, one), (4, one), (4, one)]
     df = docs_of(rows).withColumn("__known", F.lit(1))
     out = toxicity.score_documents(df, model).collect()
@@ -82,7 +91,8 @@ def test_windows_overlap_and_cover():
 def test_gradients_match_small_differences():
     """Steps of 1e-3: a step of 2e-2 can move an n-gram past another, where the largest has a kink."""
     net, rng = toxicity.Network(3), np.random.default_rng(0)
-    ids, mask, found = toxicity._batch([["one", "two", "three"], ["four", "two"], ["five"] * 5])
+    windows = toxicity.Windows.of([[["one", "two", "three"], ["four", "two"]], [["five"] * 5]])
+    ids, mask, found = windows.batch(np.arange(3))
     rows, starts = toxicity.gram_rows(found)
     net.p = {k: (v.astype(np.float64) + rng.normal(0, .05, v.shape)) for k, v in net.p.items()}
     at = np.array([toxicity.word_row(w) for w in found])
