@@ -69,10 +69,9 @@ def tag_union(frames: dict[str, DataFrame], tag: str = "split") -> DataFrame:
     return union_all(*[f.withColumn(tag, F.lit(k)) for k, f in frames.items()], allow_missing=True)
 
 
-def split_back(df: DataFrame, tag: str = "split") -> dict:
-    """Frames per tag value (only needed when writing separate files)."""
-    keys = [r[0] for r in df.select(tag).distinct().collect()]
-    return {k: df.where(F.col(tag) == k).drop(tag) for k in keys}
+def split_back(df: DataFrame, tags: list[str], tag: str = "split") -> dict[str, DataFrame]:
+    """One frame per named tag value (only needed when writing separate files)."""
+    return {k: df.where(F.col(tag) == k).drop(tag) for k in tags}
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -75,11 +75,6 @@ def rename_map(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
-def rename_all(df: DataFrame, names: list[str]) -> DataFrame:
-    """P9 (by position)."""
-    return df.toDF(*names)
-
-
 def with_constant(df: DataFrame, name: str, value) -> DataFrame:
     """P10."""
     return df.withColumn(name, F.lit(value))

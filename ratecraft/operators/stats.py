@@ -73,11 +73,6 @@ def schema_report(df: DataFrame) -> DataFrame:
     return types.join(null_counts(df), "column")
 
 
-def shape(df: DataFrame) -> tuple[int, int]:
-    """(rows, columns)."""
-    return df.count(), len(df.columns)
-
-
 def column_report(df: DataFrame, col: str) -> DataFrame:
     """Records, nulls, zeros, min, max, mean, median, population sd, Q1, Q3,
     IQR, fences at 1.5·IQR and outlier counts — nulls skipped everywhere."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.sources.ratings import RATING_SCALE
@@ -62,3 +62,14 @@ class Model:
 
     def predict(self, targets: DataFrame) -> DataFrame:  # pragma: no cover - interface
         raise NotImplementedError
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The model's state as tables (K7)."""
+        raise NotImplementedError(f"{type(self).__name__} has no saved form")
+
+    def params(self) -> dict:
+        """The model's numbers and settings, as JSON (K7)."""
+        return {"mu": self.mu, "scale": list(self.scale), "roles": [self.roles.user, self.roles.item, self.roles.rating]}
+
+    def spark(self) -> SparkSession:
+        return next(iter(self.tables().values())).sparkSession

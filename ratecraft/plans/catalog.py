@@ -37,5 +37,5 @@ def query(name: str, sql: str | None = None, bench: bool = False):
 def load_all() -> dict[str, Entry]:
     # Importing the query modules fills the registry.
     from ratecraft.plans import (queries_core, queries_ml, queries_models,  # noqa: F401
-                                 queries_relational, queries_text)
+                                 queries_relational, queries_tables, queries_text)
     return REGISTRY
