@@ -118,13 +118,20 @@ def test_lines_match_all_pairs(docs_of, monkeypatch):
     assert lines.without_near_lines(docs_of([])).count() == 0
 
 
+def test_lines_beside_columns_of_any_name(docs_of):
+    names = ("__id", "__h2", "__h", "__key", "__lines0", "id", "h", "rest", "dropped", "root", "digest")
+    df = docs_of([(1, "some line of words\nsome line of words"), (2, None)]).withColumns({c: F.lit(f"own {c}") for c in names})
+    out = lines.without_near_lines(df).collect()
+    assert all(r[c] == f"own {c}" for r in out for c in names) and sorted(map(str, (r["__dropped"] for r in out))) == ["[1]", "[]"]
+
+
 def test_banding_has_high_recall():
     rng = random.Random(1)
     found = total = 0
     for _ in range(400):
         a = prose(rng, 50)
         b = edit(rng, a, rng.randint(1, 4))
-        x, y = (set(s.tolist()) for s in lines.shingle_sets([a, b]))
+        x, y = lines.shingle_sets([a, b])
         if x != y and len(x & y) >= lines.THRESHOLD * len(x | y):
             total += 1
             keys = lines.band_keys([a, b])
@@ -208,14 +215,32 @@ def test_passages_of_short_words_are_found_up_to_their_ends(docs_of):
     assert flagged[0:40:6].count(False) >= 1 and all(flagged[4:80:6])
 
 
-def test_cuts_resist_shifts_and_cover_the_text():
+def test_gear_hash_rolls_and_cuts_resist_shifts():
     rng = random.Random(2)
-    text = prose(rng, 400) + " ß漢😀 " + prose(rng, 400)
-    ends = chunks.cut(text)
-    sizes = np.diff([0, *ends])
-    assert ends[-1] == len(text) and sizes.max() <= chunks.MAX_CHARS and (sizes[:-1] >= chunks.MIN_CHARS).all()
-    a = {text[i:j] for i, j in zip([0, *ends], ends)}
-    moved = "inserted words " + text
-    b = chunks.cut(moved)
-    assert len(a & {moved[i:j] for i, j in zip([0, *b], b)}) >= .95 * len(a)
-    assert chunks.cut("") == [] and chunks.cut("ab") == [2]
+    numbers = np.random.default_rng(1).integers(0, 1 << 63, 200).astype(np.uint64)
+    h, rolled = 0, []
+    for n in numbers.tolist():
+        h = ((h << 4) + n) % (1 << 64)
+        rolled.append(h)
+    assert chunks.gear(numbers, 16).tolist() == rolled[15:]  # after 16 words the first has left the hash
+    text = prose(rng, 2000) + " ß漢😀 " + prose(rng, 2000)
+    moved = "some inserted words " + text[:9000] + " and more " + text[9000:]
+    def pieces(t):
+        words = t.split()
+        starts = chunks.cut(t)
+        return [tuple(words[i:j]) for i, j in zip(starts, [*starts[1:], len(words)])]
+    a, b = pieces(text), set(pieces(moved))
+    assert sum(p in b for p in a) >= .93 * len(a) and [w for p in a for w in p] == text.split()
+    assert 8 < len(text.split()) / len(a) < 40
+    assert chunks.cut("") == [] and chunks.cut("ab") == [] and chunks.cut(prose(rng, 51)) == [0]
+
+
+def test_repeats_beside_columns_of_any_name(docs_of):
+    rng = random.Random(4)
+    rows = [(1, prose(rng, 80)), (2, prose(rng, 5))]
+    rows += [(3, rows[0][1] + " end")]
+    names = ("marks", "__id", "__h2", "__h", "__key", "id", "h", "rest", "spans", "chunk", "first")
+    df = docs_of(rows).withColumns({c: F.lit(f"own {c}") for c in names})
+    out = chunks.without_repeats(df).collect()
+    assert len(out) == 3 and all(r[c] == f"own {c}" for r in out for c in names)
+    assert {r["doc_id"]: len(r["__spans"]) for r in out} == {1: 1, 2: 0, 3: 1}

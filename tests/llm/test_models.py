@@ -238,6 +238,35 @@ def test_pages_of_the_given_table(spark):
     assert {r["language"] for r in language.identify(odd, docs.limit(0)).collect()} == {None}
 
 
+def test_text_model_names_the_language_of_documents_outside_its_sample(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").where("length(text) > 40")
+    model = language.fit_text(docs)
+    assert model["names"] == sorted(r[0] for r in docs.select("lang").distinct().collect())
+    held = language.sample_texts(docs).select("o", "h")
+    outside = docs.withColumns({"o": F.xxhash64(F.lit("sample"), "doc_id"), "h": F.xxhash64("text")}).join(held, ["o", "h"], "left_anti")
+    judged = language.text_evidence(outside.select(F.struct("doc_id", "lang").alias("page_id"), F.lit("").alias("url"),
+                                                   F.col("text").alias("html")), model)
+    best = judged.select("key.lang", F.get(F.lit(model["names"]), F.array_position("ll", F.array_max("ll")).cast("int") - 1).alias("got"))
+    right, n = best.agg(F.avg((F.col("lang") == F.col("got")).cast("int")), F.count("*")).first()
+    assert n > 3000 and right > .97
+
+
+def test_language_sample_is_bounded_and_whole(docs_of, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 5)
+    rows = [(i, f"text {i} " + "x" * 50_000) for i in range(20)] + [(3, "text 3 again")] * 40 + [(None, None), (7, "")]
+    got = language.sample_texts(docs_of(rows)).collect()
+    assert len(got) == 5 and len({(r["o"], r["h"]) for r in got}) == 5
+    assert all(r["text"] is None or len(r["text"]) < 20 or len(r["text"]) > 50_000 for r in got)
+
+
+def test_training_runs_come_from_the_whole_text():
+    assert quality.drawn_runs("1", 0) == [(0, 0)] and quality.drawn_runs("1", 40) == [(0, 40)]
+    starts = [quality.drawn_runs(str(i), 1000) for i in range(400)]
+    assert all(b - a == quality.SAMPLE_LINES and 0 <= a and b <= 1000 for runs in starts for a, b in runs)
+    assert all(runs[0][1] <= runs[1][0] for runs in starts)
+    assert min(r[0][0] for r in starts) < 20 and max(r[1][1] for r in starts) > 980
+
+
 def test_visible_text_drops_what_is_not_shown():
     page = "<html><script>var t='<p>';</script><style>p{}</style><!-- <b>no</b> --><p>one&amp;two</p></html>"
     assert " ".join(language.visible(page).split()) == "one&two"

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from ratecraft.llm import bpe, mixing, toxicity
@@ -74,3 +75,21 @@ def test_stages_of_odd_and_empty_tables(spark, docs_of):
     for r in pipeline.line_dedup(spark, docs_of([(1, "a b c d"), (2, "a b c d\nown line here")]), SF).collect():
         lengths[r["doc_id"]] = r["n_chars"]
     assert dict(lengths) == {1: 7, 2: 13} and np.isfinite(list(lengths.values())).all()
+
+
+def test_stages_beside_columns_of_any_name(spark, docs_of):
+    names = ("__h", "__k", "__key", "__tie", "__rank", "__class", "__block", "__source", "__words0", "__id", "__h2", "k", "h", "row",
+             "rest", "key", "tie", "marks", "root", "digest", "dropped", "id")
+    docs = docs_of([(i, f"word{i} and some more words {i}\nline {i}", "a") for i in range(6)]).withColumns({c: F.lit(f"own {c}") for c in names})
+    for name, stage in pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        found = out.select(*names).distinct().collect()
+        assert len(found) <= 1 and all(r[c] == f"own {c}" for r in found for c in names), name
+
+
+def test_toxicity_stage_of_odd_and_empty_tables(spark, docs_of):
+    rows = [(1, None), (1, None), (None, "x"), (2, ""), (3, "word " * 50_000), (4, "a")]
+    for docs in (docs_of(rows), docs_of([])):
+        out = pipeline.toxicity(spark, docs, SF)
+        assert out.columns == docs.columns and out.count() <= docs.count()
