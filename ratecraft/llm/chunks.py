@@ -1,34 +1,33 @@
 """Substring dedup by content-defined chunking: every passage of ``MIN_WORDS`` words that another document holds.
 
-A rolling hash gives each run of ``GRAM`` words a number; the mark of a stretch of
-``MIN_WORDS`` words is the smallest number inside it.  The mark depends on nothing
-but the stretch's words, so two documents that share a stretch share its mark, at
-any offset and in any surroundings.  A text is cut into chunks where the mark
-changes (about every 18 words); a chunk is the stretches of one mark.
+A gear hash rolls over the words: every step shifts it and adds the number of the next word, so after
+``GRAM`` words the oldest has left it.  A text is cut where the smallest gear hash within a stretch of ``MIN_WORDS``
+words changes (``cut``; about every 18 words); a chunk is the stretches of one smallest hash, its mark.  Marks depend on
+nothing but the stretch's words, so two documents that share a stretch share its mark, and all chunks between its
+cuts, at any offset and in any surroundings: insertions shift nothing.
 
 1. Marks that only one document holds are discarded by a grouped aggregation; no
    shared stretch is lost by it.
-2. The stretches of the other marks are compared exactly, by their own digests.
-   Chunks that are equal with their whole surroundings are collapsed first, so a
-   stretch is sent once for all its copies.
+2. The chunks of the other marks are deduplicated by digest (with their whole
+   surroundings), so a chunk's stretches are sent once for all its copies, and the stretches
+   are compared exactly, by their own digests.
 3. Stretches with two holders or more are repeated.  The document with the
    smallest key keeps a passage, in the others it is removed, up to its real ends.
 
 Digests travel, not texts: they are aggregated with partial sums, then joined
 back by equi-joins that may be split when skewed; a passage shared by very many
 documents never meets in one task.  Words, stretches and chunks with equal 64-bit
-digests count as equal.  ``cut`` (chunks of characters) is not used by the search.
+digests count as equal.
 
-Edge cases: null, empty and short texts have no stretches and stay as they are; rows with
+Edge cases: null, empty and short texts have no stretches and stay as they are; very long
+texts are read whole, by one task each; rows with
 equal keys count as one document and keep what they share among each other; all
 null keys count as one document that comes last (keys are longs); extra columns
-pass through ``without_repeats``; an empty table stays empty.
+pass through ``without_repeats``, whatever their names (but ``__spans`` and ``__kept``, which it adds); an empty table stays empty.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -36,10 +35,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-MIN_CHARS, MAX_CHARS = 12, 72
-#: A cut where the top bits of the gear hash are zero: one in 32 characters.
-CUT_BITS = 5
-#: Words of the shortest passage to find, and of the runs whose numbers give the marks.
+#: Words of the shortest passage to find, and words the gear hash reaches back (a power of two).
 MIN_WORDS, GRAM = 51, 16
 #: Most stretches of one chunk (a text that repeats itself keeps one mark for long).
 MOST = 64
@@ -47,35 +43,6 @@ MOST = 64
 NO_KEY = (1 << 63) - 1
 
 
-def gear(codes: np.ndarray) -> np.ndarray:
-    """Rolling hash at each character, by doubling the window 1, 2, 4, 8, 16."""
-    h = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    h = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.uint16)
-    for width in (1, 2, 4, 8):
-        older = h[:-width] << np.uint16(width)
-        h = h.copy()
-        h[width:] += older
-    return h
-
-
-def cut(text: str) -> list[int]:
-    """Ends of the chunks of a text (the last is its length; none for an empty text)."""
-    n = len(text)
-    if n == 0:
-        return []
-    codes = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    marks = (np.flatnonzero(gear(codes) >> np.uint16(16 - CUT_BITS) == 0) + 1).tolist()
-    out, at, k = [], 0, 0
-    while n - at > MIN_CHARS:
-        k = bisect_left(marks, at + MIN_CHARS, k)
-        end = min(marks[k] if k < len(marks) else n, at + MAX_CHARS, n)
-        out.append(end)
-        at = end
-    if at < n:
-        out.append(n)
-    return out
-
-
 def _id(key: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY))
 
@@ -121,17 +88,38 @@ def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begins, ends, digests(prefix_sums(mix(codes.astype(np.uint64) + np.uint64(_BASE))), begins, ends)
 
 
-def marks(sums: np.ndarray, min_words: int) -> np.ndarray:
-    """The mark of each stretch of ``min_words`` words: the smallest digest of its runs of ``GRAM`` words."""
-    n, gram = len(sums) - 1, min(GRAM, min_words)
-    at = np.arange(max(0, n - gram + 1))
-    low, width, size = digests(sums, at, at + gram), 1, min_words - gram + 1
+def gear(words: np.ndarray, gram: int) -> np.ndarray:
+    """The gear hash at the end of each run of ``gram`` (a power of two) words, from their numbers.
+
+    Step by step it is h = (h << 64 / gram) + word, modulo 2 ** 64; here the reach is doubled 1, 2, 4, ...
+    """
+    h, width = words, 1
+    while width < gram:
+        h = (h[:-width] << np.uint64(64 // gram * width)) + h[width:]
+        width *= 2
+    return h
+
+
+def marks(words: np.ndarray, min_words: int) -> np.ndarray:
+    """The mark of each stretch of ``min_words`` words: the smallest (mixed) gear hash inside it."""
+    gram = GRAM
+    while gram > min_words:
+        gram //= 2
+    if len(words) < min_words:
+        return np.empty(0, np.uint64)
+    low, width, size = mix(gear(words, gram)), 1, min_words - gram + 1
     while 2 * width <= size:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
     return np.minimum(low[:len(low) - (size - width)], low[size - width:])
 
 
+def cut(text: str, min_words: int = MIN_WORDS) -> list[int]:
+    """First words of the chunks of a text: the stretches from which on the smallest gear hash is another."""
+    own = marks(words_of(text)[2], min_words)
+    return np.flatnonzero(np.append(True, own[1:] != own[:-1])[:len(own)]).tolist()
+
+
 def mark_rows(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """(id, h, mark) of every mark of every text, once a text."""
     def run(batches):
@@ -141,7 +129,7 @@ def mark_rows(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame
                 for i, value in enumerate(part.column(1)):
                     words = words_of(value.as_py() or "")[2]
                     if len(words) >= min_words:
-                        found.append(np.unique(marks(prefix_sums(words), min_words)))
+                        found.append(np.unique(marks(words, min_words)))
                         owners.append(np.full(len(found[-1]), i, np.int32))
                 if found:
                     at = pa.array(np.concatenate(owners))
@@ -165,7 +153,7 @@ def chunks_of(text: str, shared: np.ndarray, min_words: int):
     (digests, begins, ends).  A chunk has ``MOST`` stretches at most, and each begins and ends under 256 characters after the last."""
     begins, ends, words = words_of(text)
     sums = prefix_sums(words)
-    own = marks(sums, min_words)
+    own = marks(words, min_words)
     at = np.arange(len(own))
     begins, ends = begins[:len(own)], ends[min_words - 1:]
     fresh = np.ones(len(own), bool)
@@ -251,8 +239,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
             yield pa.RecordBatch.from_arrays([c["id"].take(row), c["h"].take(row), *[pa.array(x).cast(t) for x, t in zip(out, kinds)]],
                                              names=["id", "h", "start", "stop", "drop", "first"])
 
-    held_by = shared_marks(docs, key, text, min_words).withColumnsRenamed({"id": "__id", "h": "__h2"})
-    found = with_identity(docs, key, text).join(held_by, _same()).select("__key", "__h", text, "marks", key)
+    held_by = shared_marks(docs, key, text, min_words)
+    slim = docs.select(_id(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    found = slim.join(held_by, ["id", "h"]).select("id", "h", "text", "marks").where("text is not null")
     held = found.mapInArrow(chunks(False), "chunk bigint, id bigint, stretches array<bigint>")
     held = held.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("stretches").alias("stretches"))
     held = held.where("first <= last")  # always so; both uses of the chunks read the same columns and share one shuffle
@@ -273,26 +262,21 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     return rows.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "drop", "first"))).alias("spans"))
 
 
-def with_identity(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.withColumns({"__h": F.xxhash64(text), "__key": _id(key)})
-
-
-def _same() -> Column:
-    return (F.col("__key") == F.col("__id")) & (F.col("__h") == F.col("__h2"))
-
-
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``__spans`` (start, stop, drop, first of its repeated passages) and ``__kept`` (the text without the dropped ones)."""
-    spans = repeated_spans(docs, key, text, min_words).withColumnsRenamed({"id": "__id", "h": "__h2", "spans": "__spans"})
-    joined = with_identity(docs, key, text).join(spans, _same(), "left")
-    joined = joined.withColumn("__spans", F.coalesce("__spans", F.array().cast(
-        "array<struct<start:int,stop:int,drop:boolean,first:bigint>>")))
-    dropped = F.filter("__spans", lambda s: s["drop"])
+    rest = [c for c in docs.columns if c != text]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(text).alias("text"),
+                       F.xxhash64(text).alias("h"), _id(key).alias("id"))
+    joined = rows.join(repeated_spans(docs, key, text, min_words), ["id", "h"], "left")
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int,drop:boolean,first:bigint>>"))
+    joined = joined.withColumn("spans", spans)
+    dropped = F.filter("spans", lambda s: s["drop"])
     stops = F.concat(F.array(F.lit(0)), F.transform(dropped, lambda s: s["stop"]))
-    starts = F.concat(F.transform(dropped, lambda s: s["start"]), F.array(F.length(text)))
-    kept = F.array_join(F.zip_with(stops, starts, lambda a, b: F.col(text).substr(a + 1, b - a)), "")
-    return joined.withColumn("__kept", F.when(F.size(dropped) > 0, kept).otherwise(F.col(text))).select(
-        *docs.columns, "__spans", "__kept")
+    starts = F.concat(F.transform(dropped, lambda s: s["start"]), F.array(F.length("text")))
+    kept = F.array_join(F.zip_with(stops, starts, lambda a, b: F.col("text").substr(a + 1, b - a)), "")
+    own = [F.col("text").alias(c) if c == text else F.col("rest").getField(c).alias(c) for c in docs.columns
+           if c not in ("__spans", "__kept")]
+    return joined.select(*own, F.col("spans").alias("__spans"), F.when(F.size(dropped) > 0, kept).otherwise(F.col("text")).alias("__kept"))
 
 
 def op9_chunk_dedup(spark, sf_dir: str) -> DataFrame:
