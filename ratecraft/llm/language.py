@@ -5,7 +5,8 @@ log posterior = TEMPER * log P(text | language) + log P(declared | language)
 
 * text: hashed character trigrams of the visible text, multinomial with additive
   smoothing, fitted on a bounded sample of labelled documents
-  (``SAMPLE_PER_LANGUAGE`` a language by smallest hash, ``SAMPLE_CHARS`` each);
+  (``SAMPLE_PER_LANGUAGE`` whole texts a language by smallest hash); tasks count
+  the trigrams, only counts by hashed row reach the driver;
   ``TEMPER`` discounts overlapping trigrams;
 * declared markup language (``lang`` of ``<html>``, else a content-language
   ``<meta>``): its confusion with the text's posterior, summed over all pages;
@@ -19,8 +20,9 @@ of all pages is no hot key.
 Edge cases: null or empty html has no text evidence, a null url the empty host;
 a declared language outside the known ones is an evidence class of its own, a
 missing one too; repeated rows are judged each; ties go to the first language in
-code point order; without labelled documents the language is null; an empty
-table gives an empty table; extra columns of the inputs are not read.
+code point order; without labelled documents the language is null; very long
+pages are read whole; an empty table gives an empty table; extra columns of the
+inputs are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,14 +32,16 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecraft.llm.common import saved, table
 
 GRAMS = 1 << 14
 TEMPER, SMOOTH, ALPHA, BETA = 0.2, 0.5, 8.0, 1.0
-SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, MAX_LANGUAGES = 400, 20_000, 200
+SAMPLE_PER_LANGUAGE = 400
+#: More languages are an error: the model takes 64 KB each in every task.
+MAX_LANGUAGES = 4000
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
 _SPACE = re.compile(r"\s+")
@@ -58,17 +62,40 @@ def grams(text: str) -> np.ndarray:
     return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(50)).astype(np.int64) & (GRAMS - 1)
 
 
+def sample_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, o, h, text): ``SAMPLE_PER_LANGUAGE`` distinct labelled rows a language, by the smallest hashes of key and text.
+
+    Hashes are ranked first (each task sends no more than that many a language), then the texts of the chosen ones are fetched.
+    """
+    rows = docs.where(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.xxhash64(F.lit("sample"), F.col(key)).alias("o"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    first = Window.partitionBy("lang").orderBy("o", "h")
+    ranked = rows.select("lang", "o", "h").distinct().withColumn("n", F.row_number().over(first))
+    picked = ranked.where(F.col("n") <= SAMPLE_PER_LANGUAGE).drop("n")
+    return rows.join(picked, ["lang", "o", "h"]).groupBy("lang", "o", "h").agg(F.first("text").alias("text"))
+
+
 def fit_text(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict:
-    """Languages and log probabilities (GRAMS x languages) from a bounded sample of labelled documents."""
-    names = [r[0] for r in docs.where(F.col(lang).isNotNull()).groupBy(lang).agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), lang).limit(MAX_LANGUAGES).collect()]
-    order = F.xxhash64(F.lit("sample"), F.col(key))
+    """Languages and log probabilities (GRAMS x languages) from a bounded sample of labelled documents, all languages in one pass."""
+    def count(batches):
+        """Trigrams of whole texts by language; row -1 stands for the language."""
+        for batch in batches:
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                seen = np.bincount(grams(body.as_py() or ""), minlength=1)
+                at = np.flatnonzero(seen)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([name] * (len(at) + 1)), pa.array(np.append(at, -1)), pa.array(np.append(seen[at], 1))], names=["lang", "gram", "n"])
+
+    sample = sample_texts(docs, key, text, lang).select("lang", "text")
+    counted = sample.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    names = sorted(set(counted["lang"].to_pylist()))
+    if len(names) > MAX_LANGUAGES:
+        raise ValueError(f"{len(names)} languages; a model of more than {MAX_LANGUAGES} is no longer small enough to send to every task")
+    at = {name: i for i, name in enumerate(names)}
     counts = np.zeros((GRAMS, len(names)))
-    names.sort()
-    for i, name in enumerate(names):
-        picked = docs.where(F.col(lang) == name).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), order.alias("o"))
-        for row in picked.orderBy("o", "t").limit(SAMPLE_PER_LANGUAGE).collect():
-            np.add.at(counts[:, i], grams(row.t or ""), 1)
+    for name, gram, n in zip(*(counted[c].to_pylist() for c in ("lang", "gram", "n"))):
+        if gram >= 0:
+            counts[gram, at[name]] = n
     logs = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * GRAMS))
     return {"names": names, "logs": logs.astype(np.float32)}
 
