@@ -5,20 +5,22 @@ marks every line content or boilerplate, and the share of words in content
 lines decides whether the document is kept.  The field's weights are trained
 here by gradient ascent on the exact log likelihood (forward-backward), on a
 bounded sample: ``SAMPLE_PER_CLASS`` documents a quality class (smallest hashes
-of their keys), of each its first ``SAMPLE_CHARS`` characters and
-``SAMPLE_LINES`` lines.  Training labels of lines: boilerplate in documents of
+of their keys), of each ``SAMPLE_RUNS`` runs of ``SAMPLE_LINES`` lines at places that a
+hash of its key draws from the whole text (all lines of a shorter one).  Training labels of lines: boilerplate in documents of
 quality 0, else content.
 
 Base rules are exact counts over the whole text: see ``base_counts``.
 
 Edge cases: null and empty texts have no words (all counts 0, base rule failed,
 content share 0); without labels every line is content; repeated rows are judged
-each; an empty table gives an empty table; other columns pass through
-``judge_documents``.
+each, and of several texts of a labelled key the one with the smallest hash trains;
+very long texts are read whole; an empty table gives an empty table; other columns pass
+through ``judge_documents``.
 """
 
 from __future__ import annotations
 
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-SAMPLE_PER_CLASS, SAMPLE_CHARS, SAMPLE_LINES = 1500, 60_000, 40
+SAMPLE_PER_CLASS, SAMPLE_RUNS, SAMPLE_LINES = 1500, 2, 20
 STEPS = 200
 #: Smallest share of words in content lines of a kept document.
 MIN_CONTENT = 0.5
@@ -159,16 +161,42 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     order = F.xxhash64(F.lit("sample"), F.col("__id"))
     picked = [known.where(F.col("__quality") == c).orderBy(order, "__id").limit(SAMPLE_PER_CLASS) for c in (0, 1)]
     sample = picked[0].unionByName(picked[1])  # 2 * SAMPLE_PER_CLASS rows at most
-    rows = docs.select(F.col(key).alias("__id"), F.substring(text, 1, SAMPLE_CHARS).alias("text")).join(
-        F.broadcast(sample), "__id").dropDuplicates(["__id"]).where("text is not null").collect()
+    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(sample), "__id")
+    rows = rows.groupBy("__id", "__quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = rows.select(F.col("__id").cast("string").alias("id"), F.col("__quality").cast("int").alias("quality"), "text")
+
+    def draw(batches):
+        """Features of the drawn runs of lines, a row each."""
+        for batch in batches:
+            for name, quality, body in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                features = line_features(body.split("\n"))
+                for n, (a, b) in enumerate(drawn_runs(name, len(features))):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([name]), pa.array([n], pa.int32()), pa.array([quality], pa.int32()),
+                        pa.array([features[a:b].ravel().tolist()], pa.list_(pa.float64()))], names=["id", "run", "quality", "features"])
+
+    found = rows.mapInArrow(draw, "id string, run int, quality int, features array<double>").toArrow().to_pylist()
+    width = line_features(["x"]).shape[1]
     sequences, targets = [], []
-    for row in sorted(rows, key=lambda r: r["__id"]):
-        x = line_features(row.text.split("\n")[:SAMPLE_LINES])
+    for row in sorted(found, key=lambda r: (r["id"], r["run"])):
+        x = np.array(row["features"], np.float64).reshape(-1, width)
         sequences.append(x)
-        targets.append(np.full(len(x), 1 - int(row["__quality"]), np.int64))
+        targets.append(np.full(len(x), 1 - row["quality"], np.int64))
     return train(sequences, targets)
 
 
+def drawn_runs(name: str, lines: int) -> list[tuple[int, int]]:
+    """The runs of lines of a document that train the field: all, or ``SAMPLE_RUNS`` at hashed places, one in each equal part."""
+    if lines <= SAMPLE_RUNS * SAMPLE_LINES:
+        return [(0, lines)]
+    out = []
+    for r in range(SAMPLE_RUNS):
+        lo, hi = lines * r // SAMPLE_RUNS, lines * (r + 1) // SAMPLE_RUNS - SAMPLE_LINES
+        start = lo + zlib.crc32(f"{r}:{name}".encode()) % (hi - lo + 1)
+        out.append((start, start + SAMPLE_LINES))
+    return out
+
+
 def judge_documents(docs: DataFrame, model: dict, text: str = "text", min_content: float = MIN_CONTENT) -> DataFrame:
     """``docs`` with ``__base`` (counts), ``__boilerplate`` (label of every line), ``__content`` and ``__keep``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
