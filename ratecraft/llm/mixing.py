@@ -14,8 +14,8 @@ third of all rows is spread over thousands of tasks.
 Edge cases: a null source is a source of its own, ordered last; a null or empty
 text has size 0 and is sampled like any other document; repeated rows are
 sampled one by one; sources of total size 0, and empty tables, get target 0 and
-no copies.  Other columns pass through ``mix_sources``; internal names start
-with two underscores.
+no copies; very long texts are counted whole.  Other columns pass through
+``mix_sources``, whatever their names (but for the four it adds).
 """
 
 from __future__ import annotations
@@ -73,10 +73,16 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
                 seed: int = 42) -> DataFrame:
     """``docs`` with ``__words, __size, __target`` and ``__copies`` (times it is taken)."""
     bits = F.bin(F.col("__words"))
-    rows = docs.withColumns({"__words": _size(text), "__source": F.col(source)})
+    named = {key: "key", text: "text", source: "source"}
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in named]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
+    # the caller's other columns travel as one struct, so their names can't meet the ones used here
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()], tie.alias("__tie"),
+                       (F.struct(*rest) if rest else F.lit(True)).alias("rest"))
+    rows = rows.withColumns({"__words": _size("text"), "__source": F.col("source")})
     rows = rows.withColumns({
         "__class": (F.length(bits) * 8 + F.conv(F.substring(F.rpad(bits, 4, "0"), 2, 3), 2, 10).cast("int")).cast("int"),
-        "__block": hex_number(F.coalesce(F.col(key).cast("string"), F.lit("\\N")), 1, 2).cast("int")})
+        "__block": hex_number(F.coalesce(F.col("key").cast("string"), F.lit("\\N")), 1, 2).cast("int")})
     cells = ["__source", "__class", "__block"]
     blocks = saved(rows.groupBy(*cells).agg(F.count(F.lit(1)).alias("__n"), F.sum("__words").alias("__words")),
                    "mix-blocks")
@@ -89,16 +95,16 @@ def mix_sources(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sou
                         1, 10) % UNIT
     starts = starts.withColumn("__from", F.coalesce(F.sum(F.col("__n") * F.col("__unit")).over(before), F.lit(0))
                                + offset).drop("__n")
-    tie = F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")])
-    inside = Window.partitionBy(*cells).orderBy("__words", F.col(key).asc_nulls_last(), "__tie")
-    ranked = rows.withColumn("__tie", tie).withColumn("__rank", F.row_number().over(inside)).drop("__tie")
+    inside = Window.partitionBy(*cells).orderBy("__words", F.col("key").asc_nulls_last(), "__tie")
+    ranked = rows.withColumn("__rank", F.row_number().over(inside))
     joined = ranked.alias("l").join(starts.alias("r"), same("l", "r") & (F.col("l.__class") == F.col("r.__class"))
                                     & (F.col("l.__block") == F.col("r.__block")))
     kept = joined.select("l.*", "r.__size", "r.__target", "r.__unit", "r.__from")
     end = F.col("__from") + F.col("__rank") * F.col("__unit")
     copies = F.floor(end / F.lit(UNIT)) - F.floor((end - F.col("__unit")) / F.lit(UNIT))
-    return kept.withColumn("__copies", copies.cast("int")).select(
-        *docs.columns, "__words", "__size", "__target", "__copies")
+    added = ("__words", "__size", "__target", "__copies")
+    own = [F.col(named[c]).alias(c) if c in named else F.col("rest").getField(c).alias(c) for c in docs.columns if c not in added]
+    return kept.withColumn("__copies", copies.cast("int")).select(*own, *added)
 
 
 def emit(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -202,10 +202,11 @@ def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "t
     Rows equal in key and text are one document, of which one row stays.
     """
     last = (1 << 63) - 1
-    place = F.struct(F.coalesce(F.col("key").cast("long"), F.lit(last)).alias("__k"), F.col("h").alias("__h"))
+    place = F.struct(F.coalesce(F.col("key").cast("long"), F.lit(last)).alias("k"), F.col("h"))
     stay = near_duplicates(docs, key, text, shingle, max_bits).groupBy("root").agg(F.min(place).alias("p"))
-    rows = docs.withColumns({"__k": F.coalesce(F.col(key).cast("long"), F.lit(last)), "__h": F.xxhash64(text)})
-    return rows.join(stay.select("p.*"), ["__k", "__h"]).dropDuplicates(["__k", "__h"]).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.coalesce(F.col(key).cast("long"), F.lit(last)).alias("k"), F.xxhash64(text).alias("h"))
+    return rows.join(stay.select("p.*"), ["k", "h"]).dropDuplicates(["k", "h"]).select("row.*")
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
