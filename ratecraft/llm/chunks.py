@@ -240,8 +240,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
                                              names=["id", "h", "start", "stop", "drop", "first"])
 
     held_by = shared_marks(docs, key, text, min_words)
-    slim = docs.select(_id(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    found = slim.join(held_by, ["id", "h"]).select("id", "h", "text", "marks").where("text is not null")
+    # "rest" is not read here: with the same columns both joins of the texts share one shuffle
+    found = packed(docs, key, text).join(held_by, ["id", "h"]).select("id", "h", "text", "marks", "rest")
     held = found.mapInArrow(chunks(False), "chunk bigint, id bigint, stretches array<bigint>")
     held = held.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("stretches").alias("stretches"))
     held = held.where("first <= last")  # always so; both uses of the chunks read the same columns and share one shuffle
@@ -262,12 +262,15 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     return rows.groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("start", "stop", "drop", "first"))).alias("spans"))
 
 
+def packed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, h, text, rest): the caller's other columns as one struct, so their names can't meet the ones used here."""
+    return docs.select(_id(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("rest"))
+
+
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``__spans`` (start, stop, drop, first of its repeated passages) and ``__kept`` (the text without the dropped ones)."""
-    rest = [c for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(text).alias("text"),
-                       F.xxhash64(text).alias("h"), _id(key).alias("id"))
-    joined = rows.join(repeated_spans(docs, key, text, min_words), ["id", "h"], "left")
+    joined = packed(docs, key, text).join(repeated_spans(docs, key, text, min_words), ["id", "h"], "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int,drop:boolean,first:bigint>>"))
     joined = joined.withColumn("spans", spans)
     dropped = F.filter("spans", lambda s: s["drop"])
