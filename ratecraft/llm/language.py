@@ -72,6 +72,7 @@ def sample_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     first = Window.partitionBy("lang").orderBy("o", "h")
     ranked = rows.select("lang", "o", "h").distinct().withColumn("n", F.row_number().over(first))
     picked = ranked.where(F.col("n") <= SAMPLE_PER_LANGUAGE).drop("n")
+    picked = F.broadcast(picked)  # SAMPLE_PER_LANGUAGE rows of a few numbers for each of MAX_LANGUAGES at most
     return rows.join(picked, ["lang", "o", "h"]).groupBy("lang", "o", "h").agg(F.first("text").alias("text"))
 
 
