@@ -22,7 +22,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    from ratecraft.session import get_session
+    from ratecraft.session import drop_snapshots, get_session
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     if os.environ.get("BENCH_EVENT_LOG", "1") == "1":
         log_dir = tempfile.mkdtemp(prefix="ratecraft-events-")
@@ -44,6 +44,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
+    drop_snapshots(spark)
     spark.stop()
 
 
