@@ -3,9 +3,10 @@
 For a target (u, i) the neighbours are the items j the user rated; the
 similarity of i and j comes from item content: either the product of the
 exponential closeness of several numeric features (M12, C10) or the cosine
-of sparse per-item count vectors (M13, C11), scored once for each distinct
-pair.  Only (target, history item) rows are built — the item × item matrix
-never is — and item features join in by item.  Top-k by similarity (ties to the smaller id),
+of sparse per-item count vectors (M13, C11).  Item features join in by item
+before targets and ratings meet by user, so (target, history item) rows are
+built, scored and ranked in one task and never shuffled; the item × item matrix
+is not built.  Pairs with a long vector are scored by a join.  Top-k by similarity (ties to the smaller id),
 weighted mean over positive similarities, no neighbour → impossible.
 
 The reference keys its features by row id and so never finds them (Q2); this
@@ -26,6 +27,11 @@ from ratecraft.plans.neighbours import SIM_DECIMALS
 from ratecraft.session import cut_lineage
 from ratecraft.sources.ratings import RATING_SCALE
 
+#: Entries up to which an item's count vector travels with its ratings.
+SHORT = 64
+#: Targets of a user that meet the user's ratings in one part.
+SHARE = 1000
+
 # The seven numeric columns the reference's content kNN compares.
 CONTENT_COLS = ["ReviewerReviewCount", "BeerReviewCount", "ABV", "DayofWeek", "DayofMonth",
                 "Month", "Year"]
@@ -89,28 +95,61 @@ class ContentKnnModel(Model):
         self.kind, self.cols, self.scale = kind, cols, scale
         self.users = r.select("u").distinct()
 
-    def _closeness(self, hist: DataFrame) -> DataFrame:
-        fi = self.feats.select("i", *[F.col(c).alias(f"i_{c}") for c in self.cols])
-        fj = self.feats.select(F.col("i").alias("j"), *[F.col(c).alias(f"j_{c}") for c in self.cols])
+    def _dealt(self, tg: DataFrame, feats: list[DataFrame]) -> DataFrame:
+        """Targets beside the ratings of their user, with the items' features ``feats`` joined in before they meet.
+
+        Rows are dealt by user and ``part``: the targets of a user with over ``SHARE`` are cut into parts, each of which
+        meets all of the user's ratings.  What follows per target stays in its task.
+        """
+        history = self.r.select("u", F.col("i").alias("j"), F.col("r").alias("rj"))
+        parts = F.ceil(F.count(F.lit(1)) / F.lit(SHARE)).cast("int")
+        many = cut_lineage(tg.groupBy("u").agg(parts.alias("parts")).where("u IS NOT NULL AND parts > 1"))
+        for f in feats:
+            tg = tg.join(f.select("i", *[F.col(c).alias(f"i_{c}") for c in f.columns if c != "i"]), "i")
+            history = history.join(f.select(F.col("i").alias("j"), *[F.col(c).alias(f"j_{c}") for c in f.columns if c != "i"]), "j")
+        tg, history = tg.withColumn("part", F.lit(0)), history.withColumn("part", F.lit(0))
+        if not many.isEmpty():
+            cut = F.coalesce("parts", F.lit(1))
+            tg = tg.join(many, "u", "left").withColumn("part", F.pmod(F.xxhash64("RowID", "i"), cut).cast("int")).drop("parts")
+            history = history.join(many, "u", "left").withColumn("part", F.explode(F.sequence(F.lit(0), cut - 1))).drop("parts")
+        return tg.join(history, ["u", "part"])
+
+    def _closeness(self, tg: DataFrame) -> DataFrame:
         sim = None
         for c in self.cols:
             near = closeness(F.col(f"i_{c}"), F.col(f"j_{c}"))
             sim = near if sim is None else sim * near
-        return hist.join(fi, "i").join(fj, "j").withColumn("sim", F.round(sim, SIM_DECIMALS)).where(F.col("sim") > 0)
-
-    def _cosine(self, hist: DataFrame) -> DataFrame:
-        hist = hist.withColumns({"x": F.least("i", "j"), "y": F.greatest("i", "j")})
-        sims = cosine_of_pairs(self.feats, hist.select("x", "y").distinct())
-        return hist.join(sims.where(F.col("sim") > 0), ["x", "y"])
+        near = self._dealt(tg, [self.feats.select("i", *self.cols)])
+        return near.select("RowID", "u", "part", "j", "rj", F.round(sim, SIM_DECIMALS).alias("sim")).where(F.col("sim") > 0)
+
+    def _cosine(self, tg: DataFrame) -> DataFrame:
+        """Short vectors are scored where target and rating meet; pairs with a long one by ``cosine_of_pairs``."""
+        number = cut_lineage(self.feats.select("t").where(F.col("t").isNotNull()).distinct().withColumn("t_id", F.monotonically_increasing_id()))
+        sizes = self.feats.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
+        sizes = sizes.where("norm > 0")
+        entries = (self.feats.join(sizes.where(F.col("n") <= SHORT).select("i"), "i", "left_semi").join(number, "t")
+                   .groupBy("i", "t_id").agg(F.sum("c").alias("c")))
+        listed = entries.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("t_id", "c"))).alias("vector"))  # SHORT at most
+        listed = cut_lineage(sizes.join(listed, "i", "left").select("i", "norm", "vector"))
+        near = self._dealt(tg, [listed])
+        ours, theirs = F.col("i_vector"), F.col("j_vector")
+        dot = F.aggregate(F.map_entries(ours), F.lit(0.0), lambda s, e: s + e["value"] * F.coalesce(F.element_at(theirs, e["key"]), F.lit(0.0)))
+        dot = F.when(ours.isNotNull() & theirs.isNotNull(), dot)
+        near = near.select("RowID", "u", "i", "part", "j", "rj", F.round(dot / (F.col("i_norm") * F.col("j_norm")), SIM_DECIMALS).alias("sim"))
+        scored = near.where(F.col("sim") > 0).drop("i")
+        if listed.where("vector IS NULL").isEmpty():
+            return scored
+        rest = near.where(F.col("sim").isNull()).withColumns({"x": F.least("i", "j"), "y": F.greatest("i", "j")}).drop("sim")
+        sims = cosine_of_pairs(self.feats, rest.select("x", "y").distinct())
+        return scored.unionByName(rest.join(sims.where(F.col("sim") > 0), ["x", "y"]).select(*scored.columns))
 
     def predict(self, targets: DataFrame) -> DataFrame:
         u, i = self.roles.user, self.roles.item
         cols = targets.columns
         tg = targets.select("RowID", F.col(u).alias("u"), F.col(i).alias("i"))
-        hist = tg.join(self.r.select("u", F.col("i").alias("j"), F.col("r").alias("rj")), "u")
-        h = self._closeness(hist) if self.kind == "closeness" else self._cosine(hist)
+        h = self._closeness(tg) if self.kind == "closeness" else self._cosine(tg)
         # positives rank ahead of the rest, so the filter before the top-k is exact
-        top = top_k_per_group(h, "RowID", [F.desc("sim"), F.asc("j")], self.k)
+        top = top_k_per_group(h, ["u", "part", "RowID"], [F.desc("sim"), F.asc("j")], self.k)
         agg = top.groupBy("RowID").agg((F.sum(F.col("sim") * F.col("rj")) / F.sum("sim")).alias("est"))
         known_i = self.feats.select("i").distinct().withColumn("known_i", F.lit(True))
         t = tg.join(agg, "RowID", "left").join(known_i, "i", "left")

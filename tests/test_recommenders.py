@@ -207,3 +207,34 @@ def test_svdpp_stays_finite_with_a_hot_user(spark):
     assert m.users.where("u = 0 and abs(bu) < 5").count() == 1
     mean = df.agg(F.avg("rating")).first()[0]
     assert mae_value(p) <= df.agg(F.avg(F.abs(F.col("rating") - mean))).first()[0]
+
+
+def test_content_neighbours_stay_with_their_user(spark, monkeypatch):
+    """Short vectors and undivided users give what long ones and parts give; no pair of items and no target is a shuffle key of history rows."""
+    from ratecraft.plans import content_knn as ck
+    from ratecraft.plans.base import Roles
+    rows = [(f"{u}-{i}", u, i, float((u * 3 + i) % 5), f"t{(u * i) % 7}" if u % 4 else f"t{i % 3}") for u in range(12) for i in range(15) if (u + i) % 3]
+    data = spark.createDataFrame(rows, "RowID string, u long, i long, rating double, kind string").cache()
+    train, targets, roles = data.where("(u * i) % 4 > 0"), data.where("(u * i) % 4 = 0"), Roles("u", "i", "rating")
+    numbers = train.groupBy("i").agg(F.avg("rating").alias("a"), F.count("*").cast("double").alias("b"))
+    fits = {"closeness": lambda: ck.fit_content_knn(train, numbers, roles, 3, "closeness", ["a", "b"]),
+            "cosine": lambda: ck.fit_content_knn(train, ck.item_count_vectors(train, "i", "kind"), roles, 3, "cosine")}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for kind, fit in fits.items():
+        got = []
+        for short, share in ((64, 1000), (2, 2), (0, 1)):
+            monkeypatch.setattr(ck, "SHORT", short)
+            monkeypatch.setattr(ck, "SHARE", share)
+            got.append({q["RowID"]: q["est"] for q in fit().predict(targets).collect()})
+        assert len(got[0]) == targets.count() and got[0].keys() == got[1].keys() == got[2].keys()
+        assert all(got[0][k] == pytest.approx(e, abs=1e-9) for g in got[1:] for k, e in g.items()), kind
+        monkeypatch.setattr(ck, "SHORT", 64)
+        monkeypatch.setattr(ck, "SHARE", 1000)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            out = fit().predict(targets)
+            plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        above_window = plan[plan.index("Window"):plan.index("SortMergeJoin [u")]
+        assert "Exchange" not in above_window and "hashpartitioning(x" not in plan, kind
