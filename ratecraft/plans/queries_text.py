@@ -11,6 +11,7 @@ from ratecraft.operators import corpus as cp
 from ratecraft.plans import oracle_sql as q
 from ratecraft.plans.catalog import query
 from ratecraft.plans.queries_core import r6
+from ratecraft.session import cut_lineage
 from ratecraft.sources import ratings as rt
 from ratecraft.sources.tables import read_table
 
@@ -106,7 +107,7 @@ SELECT a.tok AS a, b.tok AS b, count(*) AS n FROM seq a JOIN seq b ON b.g = a.g
 GROUP BY a.tok, b.tok ORDER BY n DESC, a, b LIMIT 20""")
 def top_bigrams_corpus(spark, sf):
     """Bigrams over the whole corpus in document order (pairs cross document ends)."""
-    tok = _doc_tokens(spark, sf)
+    tok = cut_lineage(_doc_tokens(spark, sf))  # read for the ranges, the ends and the pairs
     return cp.corpus_bigram_frequency(tok).orderBy(F.desc("n"), "a", "b").limit(20)
 
 
