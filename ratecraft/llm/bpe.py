@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 
 from ratecraft.llm.common import table
 
-#: Matches, and words, whose ids a worker keeps at hand before it starts anew.
-MEMO_PIECES, MEMO_WORDS = 200_000, 100_000
+#: Matches, prefix tables, and words between spaces, that a worker keeps at hand before it starts anew.
+MEMO_PIECES, MEMO_WORDS, MEMO_PACKED = 200_000, 100_000, 300_000
 #: Rows of a batch handled at once.
 ROWS = 512
 #: Tables of prefixes of so many bytes are shared between pieces.
-SHARED_PREFIX = (11, 7, 4)
+SHARED_PREFIX = (13, 10, 8, 6, 4)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,21 +47,38 @@ class Memo(dict):
     def __init__(self, encode, most: int):
         self.encode, self.most = encode, most
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str):
         if len(self) >= self.most:
             self.clear()
         found = self[piece] = self.encode(piece)
         return found
 
 
+def _pack(ids) -> bytes:
+    return np.array(ids, dtype=np.int32).tobytes()
+
+
 class Vocabulary:
     """Ranks, tokens by id, and which tokens may follow each other."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        # every byte string inside some token, with its rank if it is a token itself
-        self.parts = {t[a:b]: -1 for t in ranks for a in range(len(t)) for b in range(a + 1, len(t) + 1)} | ranks
+        # every byte string inside some token, with the rank of the longest token at its end (itself, if it is one)
+        parts: dict[bytes, int] = {}
+        for t in ranks:
+            for a in range(len(t) - 1, -1, -1):  # from the shortest end of the token on
+                for b in range(a + 1, len(t) + 1):
+                    part = t[a:b]
+                    if part not in parts:
+                        rank = ranks.get(part)
+                        parts[part] = parts.get(part[1:], -1) if rank is None else rank
+        self.parts = parts
+        # by rank: a token's length, and the longest shorter token at its end (-1: none)
+        most = max(ranks.values(), default=-1) + 1
+        self.sizes, self.shorter = [0] * most, [-1] * most
+        for t, r in ranks.items():
+            self.sizes[r], self.shorter[r] = len(t), parts.get(t[1:], -1)
         self.pairs: dict[int, bool] = {}
         self.sides: dict[int, tuple | None] = {}
         self.prefixes: dict[bytes, tuple[int, ...]] = {}
@@ -140,21 +157,22 @@ class Vocabulary:
                 if length <= len(data) and (known := prefixes.get(data[:length])):
                     last.extend(known)
                     break
+        sizes, shorter = self.sizes, self.shorter
         for end in range(len(last) + 1, len(data) + 1):
             while least < end and (token := parts.get(data[least:end])) is None:  # no token begins here or before
                 least += 1
-            start = least
-            while start < end:  # exactly one token fits; longer ones are likelier
-                if token >= 0:
-                    if start == 0:
-                        if self.spines(token) is not None:
-                            break
-                    else:
-                        fits = pairs.get(last[start - 1] << 32 | token)
-                        if self.follows(last[start - 1], token) if fits is None else fits:
-                            break
-                start += 1
-                token = parts.get(data[start:end], -1)
+            if least == end:
+                token = -1
+            while token >= 0:  # exactly one token fits; longer ones are likelier
+                size = sizes[token]
+                if size == end:
+                    if self.spines(token) is not None:
+                        break
+                else:
+                    fits = pairs.get(last[-size] << 32 | token)
+                    if self.follows(last[-size], token) if fits is None else fits:
+                        break
+                token = shorter[token]
             else:
                 raise ValueError("the ranks don't cover these bytes")
             last.append(token)
@@ -195,30 +213,30 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, by_space: bool = False):
         self.vocabulary, self.split, self.by_space = vocabulary, regex.compile(pattern), by_space
-        self.letters = Memo(lambda word: vocabulary.piece(" " + word), MEMO_PIECES)
-        self.other = Memo(lambda word: tuple(vocabulary.encode(self.split, word)), MEMO_WORDS)
-        self.marks = {m: vocabulary.piece(m) for m in ",."}
-
-    def encode(self, text: str) -> list[int]:
+        self.words = Memo(self._word, MEMO_PACKED)
+        self.marks = {m: _pack(vocabulary.piece(m)) for m in ",."}
+        self.line_break = _pack(vocabulary.piece("\n"))
+
+    def _word(self, word: str) -> bytes:
+        """Packed ids of a word with the space before it, or of one that begins a line with the line break."""
+        if word[0] == "\n":
+            return self.line_break + _pack(self.vocabulary.encode(self.split, word[1:]))
+        if word.isalpha():
+            return _pack(self.vocabulary.piece(" " + word))
+        if word[-1] in self.marks and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.marks[word[-1]]
+        return _pack(self.vocabulary.encode(self.split, " " + word))
+
+    def packed(self, text: str) -> bytes:
+        """The ids as 32-bit numbers one after another."""
         # str.split knows every white space character: equal lists mean single spaces and line breaks only
         if not self.by_space or text.split() != text.replace("\n", " ").split(" "):
-            return self.vocabulary.encode(self.split, text)
-        out: list[int] = []
-        letters, other, marks, line_break = self.letters, self.other, self.marks, self.vocabulary.piece("\n")
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out += line_break
-            words = line.split(" ")
-            out += other[words[0]]
-            for word in words[1:]:
-                if word.isalpha():
-                    out += letters[word]
-                elif word[-1] in marks and word[:-1].isalpha():
-                    out += letters[word[:-1]]
-                    out += marks[word[-1]]
-                else:
-                    out += other[" " + word]
-        return out
+            return _pack(self.vocabulary.encode(self.split, text))
+        first, *words = text.replace("\n", " \n").split(" ")
+        return _pack(self.vocabulary.encode(self.split, first)) + b"".join(map(self.words.__getitem__, words))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
 class EncodedText:
@@ -303,13 +321,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     def run(batches):
         encoder = _at_hand(shared.value)
         for batch in _slices(batches):
-            values, ends = [], [0]
-            for x in batch.column(batch.schema.get_field_index(text)):
-                ids = encoder.encode(x.as_py() or "")
-                values.append(np.array(ids, dtype=np.int32))
-                ends.append(ends[-1] + len(ids))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                           pa.array(np.concatenate(values) if values else [], pa.int32()))
+            values = [encoder.packed(x or "") for x in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            ends = np.cumsum([0, *(len(v) // 4 for v in values)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(values), np.int32)))
             kept = [batch.column(i) for i, c in enumerate(batch.schema.names) if c != out]
             yield pa.RecordBatch.from_arrays([*kept, ids], names=[*rest, out])
 

@@ -1,6 +1,7 @@
 """op7: byte-level BPE against the tiktoken library, appends and edits."""
 import hashlib
 
+import numpy as np
 import tiktoken
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -68,3 +69,19 @@ def test_given_table_matches_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r["doc_id"]: r["ids"] for r in bpe.encode_documents(docs, PATH, PATTERN, by_space=True).collect()}
     assert got == {r["doc_id"]: REFERENCE.encode_ordinary(r["text"]) for r in docs.collect()}
+
+
+def test_words_between_spaces_are_kept_packed():
+    text = "Foo, foo bar.\nFoo  b"[:-3] + " 12 ß, the"
+    encoder = bpe.Encoder(WORDS, PATTERN, by_space=True)
+    want = REFERENCE.encode_ordinary(text)
+    assert encoder.packed(text) == np.array(want, np.int32).tobytes()
+    assert {"foo", "bar", "bar.", "\nFoo", "ß", "ß,"} <= set(encoder.words) and encoder.encode(text) == want
+
+
+def test_the_longest_shorter_token_at_the_end_is_known():
+    for token in [b" thereupon", b"ing", b" the", *list(RANKS)[5000:5200]]:
+        rank = RANKS.get(token)
+        if rank is not None:
+            ends = [token[a:] for a in range(1, len(token)) if token[a:] in RANKS]
+            assert WORDS.shorter[rank] == (RANKS[ends[0]] if ends else -1) and WORDS.sizes[rank] == len(token)
