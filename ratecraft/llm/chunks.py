@@ -242,9 +242,10 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     held_by = shared_marks(docs, key, text, min_words)
     # "rest" is not read here: with the same columns both joins of the texts share one shuffle
     found = packed(docs, key, text).join(held_by, ["id", "h"]).select("id", "h", "text", "marks", "rest")
-    held = found.mapInArrow(chunks(False), "chunk bigint, id bigint, stretches array<bigint>")
+    held = found.mapInArrow(chunks(False), "chunk bigint, id bigint, stretches array<bigint>").where("chunk is not null")
     held = held.groupBy("chunk").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.first("stretches").alias("stretches"))
-    held = held.where("first <= last")  # always so; both uses of the chunks read the same columns and share one shuffle
+    # always so, as is the filter above, which a later join adds for one use: with both, the two uses of the chunks share one shuffle
+    held = held.where("first <= last")
     sent = held.select("chunk", "first", "last", F.posexplode("stretches").alias("i", "digest"))
     holders = sent.groupBy("digest").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first <> last")
     firsts = sent.select("chunk", "i", "digest").join(holders.drop("last"), "digest")

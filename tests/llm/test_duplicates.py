@@ -244,3 +244,18 @@ def test_repeats_beside_columns_of_any_name(docs_of):
     out = chunks.without_repeats(df).collect()
     assert len(out) == 3 and all(r[c] == f"own {c}" for r in out for c in names)
     assert {r["doc_id"]: len(r["__spans"]) for r in out} == {1: 1, 2: 0, 3: 1}
+
+
+def test_both_uses_of_the_chunks_share_one_shuffle(spark, docs_of):
+    docs = docs_of([(i, " ".join(f"w{k + i % 2}" for k in range(80))) for i in range(4)])
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for c, v in zip(before, ("false", "-1")):
+            spark.conf.set(c, v)
+        spans = chunks.repeated_spans(docs)
+        plan = spark._jvm.PythonSQLUtils.explainString(spans._jdf.queryExecution(), "simple")
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    # marks for their holders and for the texts, chunks, places, runs
+    assert plan.count("MapInArrow") == 5
