@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ratecraft.plans import baseline, cells
+from ratecraft.plans import baseline, cells, factors
 from ratecraft.plans.base import Roles
 from ratecraft.session import cut_lineage
 
@@ -60,3 +60,22 @@ def test_baseline_moves_no_ratings_by_joins(ratings, monkeypatch):
             out.update({k: sum(v) / (reg + len(v)) for k, v in held.items()})
     assert {x["u"]: x["bu"] for x in got.bu.collect()} == pytest.approx(bu)
     assert {x["i"]: x["bi"] for x in got.bi.collect()} == pytest.approx(bi)
+
+
+def test_factor_epoch_is_one_job_without_a_join(ratings, monkeypatch):
+    seen = plans_of(monkeypatch, factors)
+    factors.descend(grouped(ratings), 2, 2, lr=[0.05, 0.01], implicit=False)
+    assert len(seen) == 2 + 2 and all("Join" not in p for p in seen)
+
+
+@pytest.mark.parametrize("implicit", [False, True])
+def test_factors_of_many_cells_equal_those_of_one(ratings, monkeypatch, implicit):
+    def states():
+        users, items, _ = factors.descend(grouped(ratings), 2, 2, lr=[0.05, 0.01], implicit=implicit)
+        return [{(x["g"], x[1]): tuple(x)[2:] for x in t.collect()} for t in (users, items)]
+
+    one = states()
+    monkeypatch.setattr(factors, "CELL", 10)
+    for a, b in zip(one, states()):
+        assert a.keys() == b.keys()
+        assert all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
