@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ratecraft.plans import baseline, cells, factors
+from ratecraft.plans import baseline, cells, cocluster, factors
 from ratecraft.plans.base import Roles
 from ratecraft.session import cut_lineage
 
@@ -79,3 +79,17 @@ def test_factors_of_many_cells_equal_those_of_one(ratings, monkeypatch, implicit
     for a, b in zip(one, states()):
         assert a.keys() == b.keys()
         assert all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
+
+
+def test_clusters_are_never_broadcast(ratings, monkeypatch):
+    def clusters():
+        users, items, averages, _ = cocluster.cocluster(grouped(ratings), 2, 3, 2, 42)
+        return [sorted(map(tuple, users.select("g", "u", "cu").collect())), sorted(map(tuple, items.select("g", "i", "ci").collect()))], averages
+
+    seen = plans_of(monkeypatch, cocluster)
+    one, averages = clusters()
+    assert seen and all("Broadcast" not in p for p in seen)
+    monkeypatch.setattr(cells, "CELL", 10)
+    many, again = clusters()
+    assert one == many
+    assert all(a == pytest.approx(b) for a, b in zip(averages, again))
