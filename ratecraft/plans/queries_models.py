@@ -8,7 +8,7 @@ from ratecraft.plans import oracle_sql as q
 from ratecraft.plans.catalog import query
 from ratecraft.plans.neighbours import fit_knn, fit_slope_one
 from ratecraft.plans.queries_core import r6
-from ratecraft.session import cut_lineage
+from ratecraft.session import handed_on
 from ratecraft.sources import ratings as rt
 
 _BASE = [
@@ -78,7 +78,7 @@ def knn_sql(kind: str, sim: str = "msd", k: int = 40, min_k: int = 1, min_suppor
 
 
 def _predict(spark, sf, fit):
-    t = cut_lineage(rt.rating_triples(spark, sf))
+    t = rt.stored_triples(spark, sf)
     model = fit(t.where(F.col("split") == "train"))
     p = model.predict(t.where(F.col("split") != "train").select("RowID", "split", "BeerID", "ReviewerID"))
     return p.select("RowID", "split", r6("est").alias("est"), "was_impossible")
@@ -175,7 +175,8 @@ def _cosine_sql() -> str:
 
 
 def _content_predict(spark, sf, kind):
-    eng = cut_lineage(engineered_features(spark, sf))
+    eng = handed_on(engineered_features(spark, sf).select(
+        "RowID", "split", "BeerID", "ReviewerID", "rating", *(CONTENT_COLS if kind == "closeness" else ["BeerType"])))
     train = eng.where(F.col("split") == "train")
     if kind == "closeness":
         feats = item_features_mean(train, "ReviewerID", CONTENT_COLS)

@@ -17,6 +17,7 @@ from ratecraft.plans import oracle_sql as q
 from ratecraft.plans.catalog import query
 from ratecraft.plans.features import engineered_features
 from ratecraft.plans.queries_core import r6
+from ratecraft.session import handed_on
 from ratecraft.sources import ratings as rt
 from ratecraft.sources.tables import read_table
 
@@ -324,7 +325,7 @@ _CLEAN = "regexp_replace({c}, '[ /\\-:;''\"&$@,.?!]', '', 'g')"
 SELECT RowID, 'BeerType_' || {_CLEAN.format(c='BeerType')} AS feature FROM eng
 UNION ALL SELECT RowID, 'Gender_' || {_CLEAN.format(c='Gender')} FROM eng""")
 def onehot_long(spark, sf):
-    e = engineered_features(spark, sf).select("RowID", "BeerType", "Gender")
+    e = handed_on(engineered_features(spark, sf).select("RowID", "BeerType", "Gender"))  # read for each category list and the rows
     wide = enc.one_hot(enc.one_hot(e, "BeerType"), "Gender")
     hot = [c for c in wide.columns if c != "RowID"]
     return (wide.unpivot("RowID", hot, "feature", "value")
@@ -347,7 +348,7 @@ def _scaled_sql(kind: str) -> str:
 
 def _scaled(spark, sf, kind):
     from ratecraft.operators.columns import SCALED_COLS
-    e = engineered_features(spark, sf).select("RowID", "split", *SCALED_COLS)
+    e = handed_on(engineered_features(spark, sf).select("RowID", "split", *SCALED_COLS))  # read for the statistics and the rows
     s = num.zscore(e, SCALED_COLS, fit_on="each") if kind == "zscore" else \
         num.minmax(e, SCALED_COLS, fit_on="each")
     return s.select("RowID", "split", *[r6(c).alias(c) for c in SCALED_COLS])
